@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A master of at most this many ids (about 12 bytes each) is broadcast.
-BROADCAST_ROWS = 1_000_000
+# Largest list of account ids that is broadcast, and the size of one entry on top of its text.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ENTRY_BYTES = 64
 SALTS = 32
 
 
+def id_list_bytes(accounts: DataFrame) -> int:
+    """Measured size of the account ids as a broadcast list, an upper bound."""
+    size = accounts.agg(
+        F.coalesce(F.sum(F.octet_length("account_id") + ENTRY_BYTES), F.lit(0)).alias("bytes")
+    )
+    return size.first()["bytes"]
+
+
 def flag_known_accounts(
-    payments: DataFrame, accounts: DataFrame, broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS
+    payments: DataFrame, accounts: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, salts: int = SALTS
 ) -> DataFrame:
     """Add ``account_known``: does the master list this account?
 
-    A counted, small master is broadcast. A larger one is joined by shuffle on the
-    account and a salt: a payment takes its salt from its own content, and each
+    A master measured to be small is broadcast. A larger one is joined by shuffle on
+    the account and a salt: a payment takes its salt from its own content, and each
     master id is repeated once per salt. One account with a third of all payments
     is thus spread over ``salts`` tasks, and so are payments without an account.
     """
@@ -25,7 +34,7 @@ def flag_known_accounts(
         .distinct()
         .withColumn("account_known", F.lit(True))
     )
-    if accounts.count() <= broadcast_rows:
+    if id_list_bytes(accounts) <= broadcast_bytes:
         joined = payments.join(F.broadcast(known), "account_id", "left")
     else:
         salt = F.pmod(F.xxhash64(*payments.columns), F.lit(salts))

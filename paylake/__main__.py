@@ -26,6 +26,8 @@ def main() -> None:
     parser.add_argument("path")
     parser.add_argument("--database")
     parser.add_argument("--role", choices=[ANALYST_ROLE, CLEAR_ROLE], default=ANALYST_ROLE)
+    parser.add_argument("--check-accounts", action="store_true")
+    parser.add_argument("--silver-by-day", action="store_true")
     parser.add_argument("--valid-from", default=Rules.valid_from)
     parser.add_argument("--valid-to", default=Rules.valid_to)
     args = parser.parse_args()
@@ -37,7 +39,9 @@ def main() -> None:
     rules = Rules(valid_from=args.valid_from, valid_to=args.valid_to)
 
     if args.command == "build":
-        report = medallion.run(spark, args.path, rules, args.database)
+        report = medallion.run(
+            spark, args.path, rules, args.database, args.check_accounts, args.silver_by_day
+        )
         print(json.dumps(report.as_dict(), indent=2))
         return
     views = audit.warehouse_views(spark, args.role, args.database)

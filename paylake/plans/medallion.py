@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake.operators import account_day as days
 from paylake.operators import bronze, quarantine, reconcile
+from paylake.operators.accounts import flag_known_accounts, not_in_master
 from paylake.operators.dedup import distinct_payments
 from paylake.operators.merchant_hour import merchant_hour
 from paylake.rules import Rules
@@ -68,7 +69,7 @@ def silver_storage(classified: DataFrame) -> DataFrame:
         "status",
         F.col("amount_cast").alias("amount"),
         F.col("txn_ts_cast").alias("txn_ts"),
-        F.to_date("txn_ts_cast").alias("account_day"),
+        F.when(~bad, F.to_date("txn_ts_cast")).alias("account_day"),
         *LINEAGE_COLUMNS,
         F.when(bad, F.col("txn_ts")).alias("raw_txn_ts"),
         "reject_reason",
@@ -78,10 +79,20 @@ def silver_storage(classified: DataFrame) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, raw_dir: str, rules: Rules = Rules(), database: str | None = None
+    spark: SparkSession,
+    raw_dir: str,
+    rules: Rules = Rules(),
+    database: str | None = None,
+    check_accounts: bool = False,
+    silver_by_day: bool = False,
 ) -> LayerReport:
     """Build all tables from ``raw_dir/accounts.csv`` and ``raw_dir/txns.csv``.
 
+    ``check_accounts`` rejects accounts missing from the account file instead of only
+    the placeholder account. ``silver_by_day`` lays silver out by account day for
+    readers of single days; the rebalance lets Spark split a large day over tasks and
+    keeps small days from becoming small files, at the price of one more shuffle.
+
     Raises ``ValueError`` when rows are lost or invented on the way to silver.
     """
 
@@ -93,13 +104,24 @@ def run(
     payments = bronze.land(read_csv(spark, f"{raw_dir}/txns.csv", RAW_PAYMENTS), PAYMENT_COLUMNS)
     payment_counts = save_table(payments, named("bronze_txns"))
 
-    unique = distinct_payments(spark.table(named("bronze_txns")))
-    classified = quarantine.classify(quarantine.parse(unique), rules)
+    # The fingerprint is most of a row's bytes and follows from the other columns, so
+    # it stays out of the deduplication shuffle and is computed again behind it.
+    unique = distinct_payments(spark.table(named("bronze_txns")).drop("_row_hash"))
+    parsed = quarantine.parse(bronze.with_fingerprint(unique, PAYMENT_COLUMNS))
+    unknown = None
+    if check_accounts:
+        parsed = flag_known_accounts(parsed, spark.table(named("bronze_accounts")))
+        unknown = not_in_master()
+    storage = silver_storage(quarantine.classify(parsed, rules, unknown))
+    layout = ["disposition"]
+    if silver_by_day:
+        layout = ["disposition", "account_day"]
+        storage = storage.hint("rebalance", *layout)
     outcome = save_table(
-        silver_storage(classified),
+        storage,
         named("silver_classified"),
         metrics=reconcile.outcome_counts(),
-        partition_by=["disposition"],
+        partition_by=layout,
     )
     silver_columns = ", ".join([*PAYMENT_COLUMNS, *LINEAGE_COLUMNS, "account_day"])
     save_view(

@@ -73,6 +73,12 @@ def test_tables_equal_the_lazy_queries(spark, sf_dir, report):
     assert spark.table(f"{DATABASE}.silver_rejects").filter("_rejected_at IS NULL").isEmpty()
 
 
+def test_silver_keeps_the_bronze_fingerprints(spark, report):
+    columns = ["txn_id", "_source_file", "_ingested_at", "_row_hash"]
+    silver = spark.table(f"{DATABASE}.silver_txns").select(*columns)
+    assert silver.exceptAll(spark.table(f"{DATABASE}.bronze_txns").select(*columns)).isEmpty()
+
+
 def test_silver_scan_reads_one_partition(spark, report):
     plan = spark.table(f"{DATABASE}.silver_txns").select("account_id")._jdf.queryExecution().toString()
     assert "disposition#" in plan and "PartitionFilters: [isnotnull(disposition" in plan
@@ -82,6 +88,29 @@ def test_second_run_overwrites(spark, raw_dir, report):
     assert medallion.run(spark, raw_dir, EVENT_RULES, DATABASE) == report
 
 
+def test_layout_by_day_changes_no_rows(spark, raw_dir, report):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake_by_day")
+    assert medallion.run(spark, raw_dir, EVENT_RULES, "lake_by_day", silver_by_day=True) == report
+    by_day, plain = spark.table("lake_by_day.silver_txns"), spark.table(f"{DATABASE}.silver_txns")
+    assert by_day.schema == plain.schema
+    left, right = by_day.drop("_ingested_at"), plain.drop("_ingested_at")
+    assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+    one_day = by_day.filter("account_day = DATE '2024-01-05'").select("account_id")
+    assert "account_day#" in one_day._jdf.queryExecution().toString().split("PartitionFilters: ")[1]
+
+
+def test_check_accounts_rejects_accounts_outside_the_master(spark, sf_dir, report, tmp_path):
+    customers = table(spark, sf_dir, "customer").filter("c_custkey <> 8")
+    write_csv(raw_payments(table(spark, sf_dir, "events")), str(tmp_path / "txns.csv"))
+    write_csv(account_master(customers, "c_custkey"), str(tmp_path / "accounts.csv"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake_checked")
+    checked = medallion.run(spark, str(tmp_path), EVENT_RULES, "lake_checked", check_accounts=True)
+    of_account = spark.table(f"{DATABASE}.silver_txns").filter("account_id = 'ACC00000008'").count()
+    assert of_account > 0
+    assert checked.silver_txns == report.silver_txns - of_account
+    assert checked.bronze_txns - checked.duplicates == report.bronze_txns - report.duplicates
+
+
 def test_reports_respect_the_role(spark, report):
     masked = audit.answers(audit.warehouse_views(spark, ANALYST_ROLE, DATABASE), EVENT_RULES)
     clear = audit.answers(audit.warehouse_views(spark, CLEAR_ROLE, DATABASE), EVENT_RULES)

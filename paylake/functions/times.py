@@ -20,4 +20,4 @@ def instant(text: str) -> Column:
 
 def seconds_text(ts: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text of a wall-clock timestamp, fraction dropped."""
-    return F.split_part(ts.cast("string"), F.lit("."), F.lit(1))
+    return F.substring_index(ts.cast("string"), ".", 1)

@@ -30,6 +30,20 @@ def text_schema(columns: list[str]) -> T.StructType:
 RAW_ACCOUNTS = text_schema(ACCOUNT_COLUMNS)
 RAW_PAYMENTS = text_schema(PAYMENT_COLUMNS)
 
+# Declared schemas of the columnar input tables the queries read: no inference job,
+# and a file with other types fails instead of shifting results.
+SOURCE_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 @dataclass(frozen=True)
 class Field:

@@ -25,6 +25,7 @@ def local_session(app: str, cores: int | str = "*", memory: str = "8g", **conf:
         **ENGINE_CONF,
         "spark.driver.memory": memory,
         "spark.sql.shuffle.partitions": "8",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from paylake.schemas import SOURCE_TABLES
+
 # Quoted fields double their quotes, an empty field is NULL.
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SOURCE_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

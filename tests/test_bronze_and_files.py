@@ -9,9 +9,15 @@ from paylake.functions.numbers import percent, ratio, rounded_int
 from paylake.functions.text import hash_bucket, mask_tail, padded_id, row_fingerprint
 from paylake.operators import bronze
 from paylake.plans.catalog import QUERIES
-from paylake.schemas import ACCOUNT_COLUMNS, PAYMENT_COLUMNS, RAW_ACCOUNTS, RAW_PAYMENTS
+from paylake.schemas import (
+    ACCOUNT_COLUMNS,
+    PAYMENT_COLUMNS,
+    RAW_ACCOUNTS,
+    RAW_PAYMENTS,
+    SOURCE_TABLES,
+)
 from paylake.session import scratch_path
-from paylake.sources.files import read_csv, read_csv_inferred, write_csv
+from paylake.sources.files import read_csv, read_csv_inferred, table, write_csv
 
 
 def one(spark, column, value=None, kind="string"):
@@ -63,6 +69,12 @@ def test_inferred_scan_types_numbers(spark, tmp_path):
     assert df.count() == 2
 
 
+@pytest.mark.parametrize("name", SOURCE_TABLES)
+def test_declared_schemas_equal_the_files(spark, sf_dir, name):
+    path = f"{sf_dir}/{name}.parquet"
+    assert table(spark, sf_dir, name).dtypes == spark.read.parquet(path).dtypes
+
+
 def test_scratch_folder_is_the_configured_one(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")

@@ -1,7 +1,7 @@
 """Command line: build the lake tables, or report on them.
 
-    spark-submit -m paylake build RAW_DIR [--database DB]
-    spark-submit -m paylake report OUT_DIR [--database DB] [--role ROLE]
+    python -m paylake build RAW_DIR [--database DB]
+    python -m paylake report OUT_DIR [--database DB] [--role ROLE]
 
 ``report`` writes every answer and check as a CSV folder below OUT_DIR.
 """
@@ -20,7 +20,7 @@ from paylake.session import ENGINE_CONF
 from paylake.sources.files import write_csv
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="paylake")
     parser.add_argument("command", choices=["build", "report"])
     parser.add_argument("path")
@@ -28,9 +28,10 @@ def main() -> None:
     parser.add_argument("--role", choices=[ANALYST_ROLE, CLEAR_ROLE], default=ANALYST_ROLE)
     parser.add_argument("--check-accounts", action="store_true")
     parser.add_argument("--silver-by-day", action="store_true")
+    parser.add_argument("--silver-tables", action="store_true")
     parser.add_argument("--valid-from", default=Rules.valid_from)
     parser.add_argument("--valid-to", default=Rules.valid_to)
-    args = parser.parse_args()
+    args = parser.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"paylake-{args.command}")
     for key, value in ENGINE_CONF.items():
@@ -40,7 +41,13 @@ def main() -> None:
 
     if args.command == "build":
         report = medallion.run(
-            spark, args.path, rules, args.database, args.check_accounts, args.silver_by_day
+            spark,
+            args.path,
+            rules,
+            args.database,
+            check_accounts=args.check_accounts,
+            silver_by_day=args.silver_by_day,
+            silver_tables=args.silver_tables,
         )
         print(json.dumps(report.as_dict(), indent=2))
         return

@@ -3,8 +3,8 @@
 Each layer is written once and the next one reads the written table, so no stage
 is run again from the raw files and every count comes from the write itself.
 Clean and rejected rows come from one deduplication and one write: they are the two
-partitions of ``silver_classified``, published as ``silver_txns`` and
-``silver_rejects``.
+partitions of ``silver_classified``, published as the views ``silver_txns`` and
+``silver_rejects``, or copied into tables of these names on request.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from paylake.schemas import (
     RAW_PAYMENTS,
 )
 from paylake.sources.files import read_csv
-from paylake.sources.lake import save_table, save_view
+from paylake.sources.lake import check_replaceable, save_table, save_view
 
 CLEAN = "clean"
 REJECTED = "rejected"
@@ -85,6 +85,7 @@ def run(
     database: str | None = None,
     check_accounts: bool = False,
     silver_by_day: bool = False,
+    silver_tables: bool = False,
 ) -> LayerReport:
     """Build all tables from ``raw_dir/accounts.csv`` and ``raw_dir/txns.csv``.
 
@@ -92,13 +93,19 @@ def run(
     the placeholder account. ``silver_by_day`` lays silver out by account day for
     readers of single days; the rebalance lets Spark split a large day over tasks and
     keeps small days from becoming small files, at the price of one more shuffle.
+    ``silver_tables`` writes silver and rejects as managed tables of their own, for
+    readers that need the files; that scans and writes silver once more.
 
-    Raises ``ValueError`` when rows are lost or invented on the way to silver.
+    Raises ``ValueError`` when rows are lost or invented on the way to silver, or when
+    a silver name is taken by the other kind of object.
     """
 
     def named(table: str) -> str:
         return f"{database}.{table}" if database else table
 
+    for table in ("silver_txns", "silver_rejects"):
+        check_replaceable(spark, named(table), as_view=not silver_tables)
+
     accounts = bronze.land(read_csv(spark, f"{raw_dir}/accounts.csv", RAW_ACCOUNTS), ACCOUNT_COLUMNS)
     account_counts = save_table(accounts, named("bronze_accounts"))
     payments = bronze.land(read_csv(spark, f"{raw_dir}/txns.csv", RAW_PAYMENTS), PAYMENT_COLUMNS)
@@ -124,17 +131,18 @@ def run(
         partition_by=layout,
     )
     silver_columns = ", ".join([*PAYMENT_COLUMNS, *LINEAGE_COLUMNS, "account_day"])
-    save_view(
-        spark,
-        named("silver_txns"),
-        f"SELECT {silver_columns} FROM {named('silver_classified')} WHERE disposition = '{CLEAN}'",
-    )
-    save_view(
-        spark,
-        named("silver_rejects"),
-        "SELECT txn_id, account_id, merchant_id, raw_txn_ts AS txn_ts, reject_reason, _rejected_at "
-        f"FROM {named('silver_classified')} WHERE disposition = '{REJECTED}'",
-    )
+    parts = {
+        "silver_txns": f"SELECT {silver_columns} FROM {named('silver_classified')} "
+        f"WHERE disposition = '{CLEAN}'",
+        "silver_rejects": "SELECT txn_id, account_id, merchant_id, raw_txn_ts AS txn_ts, "
+        f"reject_reason, _rejected_at FROM {named('silver_classified')} "
+        f"WHERE disposition = '{REJECTED}'",
+    }
+    for table, select in parts.items():
+        if silver_tables:
+            save_table(spark.sql(select), named(table))
+        else:
+            save_view(spark, named(table), select)
 
     silver = spark.table(named("silver_txns"))
     day_counts = save_table(

@@ -27,5 +27,14 @@ def save_table(
     return dict(observed.get)
 
 
+def check_replaceable(spark: SparkSession, name: str, as_view: bool) -> None:
+    """Fail early when ``name`` exists as the other kind; nothing is dropped here."""
+    if spark.catalog.tableExists(name):
+        is_view = spark.catalog.getTable(name).tableType == "VIEW"
+        if is_view != as_view:
+            kind = "view" if is_view else "table"
+            raise ValueError(f"{name} exists as a {kind}; drop or rename it first")
+
+
 def save_view(spark: SparkSession, name: str, query: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")

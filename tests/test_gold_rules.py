@@ -119,7 +119,12 @@ def hours(spark, *rows):
 def test_ratio_of_sums_and_mean_of_rates_differ(spark):
     gold = hours(spark, ("MER0000", 23, 1, 1, 1.0), ("MER0001", 23, 99, 0, 0.0))
     assert questions.offhour_failure(gold, RULES).first()["aggregate_failure_rate_pct"] == 1.0
-    assert questions.hourly_failure_curve(gold, RULES).first()["target_grp"] == Decimal("50")
+    assert questions.hourly_failure_curve(gold, RULES).first()["target_grp"] == 50.0
+
+
+def test_hour_without_one_of_the_groups_has_no_mean(spark):
+    row = questions.hourly_failure_curve(hours(spark, ("MER0000", 3, 3, 1, 0.3333)), RULES).first()
+    assert (row["target_grp"], row["normal_grp"]) == (pytest.approx(33.33), None)
 
 
 def test_offhour_groups_windows_and_order(spark):

@@ -1,7 +1,10 @@
 """The batch job end to end, from CSV files to tables and reports."""
 
+import json
+
 import pytest
 
+from paylake.__main__ import main
 from paylake.operators.governance import ANALYST_ROLE, CLEAR_ROLE
 from paylake.plans import audit, medallion
 from paylake.plans.catalog import QUERIES
@@ -131,6 +134,27 @@ def test_checks_of_the_written_tables(spark, report):
         assert (row["duplicate_keys"], row["null_violations"], row["length_violations"]) == (0, 0, 0)
 
 
+def test_command_line_builds_tables_and_writes_reports(spark, raw_dir, report, tmp_path, capsys):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake_cli")
+    period = ["--valid-from", EVENT_RULES.valid_from, "--valid-to", EVENT_RULES.valid_to]
+    main(["build", raw_dir, "--database", "lake_cli", "--silver-tables", *period])
+    printed = json.loads(capsys.readouterr().out)
+    assert printed == report.as_dict()
+    kinds = {t.name: t.tableType for t in spark.catalog.listTables("lake_cli") if not t.isTemporary}
+    assert set(kinds.values()) == {"MANAGED"}
+    assert {"silver_txns", "silver_rejects", "gold_account_day", "gold_merchant_hour"} < set(kinds)
+    assert spark.table("lake_cli.silver_rejects").count() == report.silver_rejects
+
+    main(["report", str(tmp_path), "--database", "lake_cli", *period])
+    spikes = spark.read.option("header", True).csv(f"{tmp_path}/spend_spikes")
+    assert spikes.count() == report.amount_spikes
+    assert spikes.filter("NOT startswith(account_id, 'XXXXXXXX')").isEmpty()
+    assert spark.read.option("header", True).csv(f"{tmp_path}/reconciliation").first()["balanced"] == "true"
+
+    with pytest.raises(ValueError, match="exists as a table"):
+        medallion.run(spark, raw_dir, EVENT_RULES, "lake_cli")
+
+
 def test_unbalanced_rows_raise(spark, raw_dir, report, monkeypatch):
     monkeypatch.setattr(medallion.LayerReport, "balanced", property(lambda self: False))
     with pytest.raises(ValueError, match="reconcile"):

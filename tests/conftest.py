@@ -21,8 +21,8 @@ def spark(tmp_path_factory):
     work = tmp_path_factory.mktemp("spark")
     session = local_session(
         "paylake-tests",
-        4,
-        "4g",
+        8,
+        "8g",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(work / "warehouse"),

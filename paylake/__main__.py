@@ -1,9 +1,10 @@
-"""Command line: build the lake tables, or report on them.
+"""Command line: build the lake tables, report on them, or both.
 
-    python -m paylake build RAW_DIR [--database DB]
+    python -m paylake build RAW_DIR [--report OUT_DIR] [--database DB]
     python -m paylake report OUT_DIR [--database DB] [--role ROLE]
 
-``report`` writes every answer and check as a CSV folder below OUT_DIR.
+A report is one CSV folder per answer and check. The second form needs a catalog that
+outlives the session; which one is used is left to the Spark configuration.
 """
 
 from __future__ import annotations
@@ -20,19 +21,36 @@ from paylake.session import ENGINE_CONF
 from paylake.sources.files import write_csv
 
 
-def main(argv: list[str] | None = None) -> None:
+def write_report(
+    spark: SparkSession, out_dir: str, rules: Rules, database: str | None, role: str
+) -> None:
+    views = audit.warehouse_views(spark, role, database)
+    for name, df in {**audit.answers(views, rules), **audit.checks(spark, database)}.items():
+        write_csv(df, f"{out_dir}/{name}")
+
+
+def arguments(argv: list[str] | None) -> argparse.Namespace:
+    common = argparse.ArgumentParser(add_help=False)
+    common.add_argument("--database")
+    common.add_argument("--role", choices=[ANALYST_ROLE, CLEAR_ROLE], default=ANALYST_ROLE)
+    common.add_argument("--valid-from", default=Rules.valid_from)
+    common.add_argument("--valid-to", default=Rules.valid_to)
+
     parser = argparse.ArgumentParser(prog="paylake")
-    parser.add_argument("command", choices=["build", "report"])
-    parser.add_argument("path")
-    parser.add_argument("--database")
-    parser.add_argument("--role", choices=[ANALYST_ROLE, CLEAR_ROLE], default=ANALYST_ROLE)
-    parser.add_argument("--check-accounts", action="store_true")
-    parser.add_argument("--silver-by-day", action="store_true")
-    parser.add_argument("--silver-tables", action="store_true")
-    parser.add_argument("--valid-from", default=Rules.valid_from)
-    parser.add_argument("--valid-to", default=Rules.valid_to)
-    args = parser.parse_args(argv)
+    commands = parser.add_subparsers(dest="command", required=True)
+    build = commands.add_parser("build", parents=[common])
+    build.add_argument("raw_dir")
+    build.add_argument("--report", metavar="OUT_DIR")
+    build.add_argument("--check-accounts", action="store_true")
+    build.add_argument("--silver-by-day", action="store_true")
+    build.add_argument("--silver-tables", action="store_true")
+    report = commands.add_parser("report", parents=[common])
+    report.add_argument("report", metavar="OUT_DIR")
+    return parser.parse_args(argv)
+
 
+def main(argv: list[str] | None = None) -> None:
+    args = arguments(argv)
     builder = SparkSession.builder.appName(f"paylake-{args.command}")
     for key, value in ENGINE_CONF.items():
         builder = builder.config(key, value)
@@ -40,20 +58,18 @@ def main(argv: list[str] | None = None) -> None:
     rules = Rules(valid_from=args.valid_from, valid_to=args.valid_to)
 
     if args.command == "build":
-        report = medallion.run(
+        counts = medallion.run(
             spark,
-            args.path,
+            args.raw_dir,
             rules,
             args.database,
             check_accounts=args.check_accounts,
             silver_by_day=args.silver_by_day,
             silver_tables=args.silver_tables,
         )
-        print(json.dumps(report.as_dict(), indent=2))
-        return
-    views = audit.warehouse_views(spark, args.role, args.database)
-    for name, df in {**audit.answers(views, rules), **audit.checks(spark, args.database)}.items():
-        write_csv(df, f"{args.path}/{name}")
+        print(json.dumps(counts.as_dict(), indent=2))
+    if args.report:
+        write_report(spark, args.report, rules, args.database, args.role)
 
 
 if __name__ == "__main__":

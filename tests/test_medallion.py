@@ -137,7 +137,9 @@ def test_checks_of_the_written_tables(spark, report):
 def test_command_line_builds_tables_and_writes_reports(spark, raw_dir, report, tmp_path, capsys):
     spark.sql("CREATE DATABASE IF NOT EXISTS lake_cli")
     period = ["--valid-from", EVENT_RULES.valid_from, "--valid-to", EVENT_RULES.valid_to]
-    main(["build", raw_dir, "--database", "lake_cli", "--silver-tables", *period])
+    together, alone = tmp_path / "together", tmp_path / "alone"
+    build = ["build", raw_dir, "--database", "lake_cli", "--silver-tables", "--report", str(together)]
+    main([*build, *period])
     printed = json.loads(capsys.readouterr().out)
     assert printed == report.as_dict()
     kinds = {t.name: t.tableType for t in spark.catalog.listTables("lake_cli") if not t.isTemporary}
@@ -145,11 +147,13 @@ def test_command_line_builds_tables_and_writes_reports(spark, raw_dir, report, t
     assert {"silver_txns", "silver_rejects", "gold_account_day", "gold_merchant_hour"} < set(kinds)
     assert spark.table("lake_cli.silver_rejects").count() == report.silver_rejects
 
-    main(["report", str(tmp_path), "--database", "lake_cli", *period])
-    spikes = spark.read.option("header", True).csv(f"{tmp_path}/spend_spikes")
-    assert spikes.count() == report.amount_spikes
-    assert spikes.filter("NOT startswith(account_id, 'XXXXXXXX')").isEmpty()
-    assert spark.read.option("header", True).csv(f"{tmp_path}/reconciliation").first()["balanced"] == "true"
+    main(["report", str(alone), "--database", "lake_cli", *period])
+    for out in (together, alone):
+        spikes = spark.read.option("header", True).csv(f"{out}/spend_spikes")
+        assert spikes.count() == report.amount_spikes
+        assert spikes.filter("NOT startswith(account_id, 'XXXXXXXX')").isEmpty()
+        checked = spark.read.option("header", True).csv(f"{out}/reconciliation").first()
+        assert checked["balanced"] == "true"
 
     with pytest.raises(ValueError, match="exists as a table"):
         medallion.run(spark, raw_dir, EVENT_RULES, "lake_cli")

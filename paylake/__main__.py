@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +36,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     common.add_argument("--role", choices=[ANALYST_ROLE, CLEAR_ROLE], default=ANALYST_ROLE)
     common.add_argument("--valid-from", default=Rules.valid_from)
     common.add_argument("--valid-to", default=Rules.valid_to)
+    common.add_argument("--risk-merchants", nargs=2, metavar=("FROM", "TO"))
 
     parser = argparse.ArgumentParser(prog="paylake")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -56,6 +58,9 @@ def main(argv: list[str] | None = None) -> None:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     rules = Rules(valid_from=args.valid_from, valid_to=args.valid_to)
+    if args.risk_merchants:
+        first, last = args.risk_merchants
+        rules = replace(rules, risk_merchant_from=first, risk_merchant_to=last)
 
     if args.command == "build":
         counts = medallion.run(

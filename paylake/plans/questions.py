@@ -10,15 +10,15 @@ from paylake.functions.numbers import percent, ratio
 from paylake.rules import Rules
 
 
-def _spike_report(spikes: DataFrame, digits: int = 2) -> DataFrame:
-    multiple = F.try_divide("max_amount", "avg_amount_30d_trailing")
-    ordered = spikes.orderBy(F.desc(multiple), "account_id", "account_day")
+def _spike_report(spikes: DataFrame) -> DataFrame:
+    amount, baseline = F.col("max_amount"), F.col("avg_amount_30d_trailing")
+    ordered = spikes.orderBy(F.desc(F.try_divide(amount, baseline)), "account_id", "account_day")
     return ordered.select(
         "account_id",
         "account_day",
         "max_amount",
-        F.col("avg_amount_30d_trailing").alias("baseline_30d"),
-        ratio(F.col("max_amount"), F.col("avg_amount_30d_trailing"), digits).alias("spike_multiplier"),
+        baseline.alias("baseline_30d"),
+        ratio(amount, baseline, 2).alias("spike_multiplier"),
         "prior_txn_count",
     )
 

@@ -126,6 +126,16 @@ def test_reports_respect_the_role(spark, report):
     assert sum(row["rows"] for row in masked["rejects_by_reason"].collect()) == report.silver_rejects
 
 
+def test_questions_push_their_filter_into_the_scan(spark, report):
+    views = audit.warehouse_views(spark, ANALYST_ROLE, DATABASE)
+    answers = audit.answers(views, EVENT_RULES)
+    for name, flag in (("spend_spikes", "is_amount_spike"), ("device_bursts", "is_device_burst")):
+        plan = answers[name]._jdf.queryExecution().executedPlan().toString()
+        assert f"EqualTo({flag},true)" in plan
+    plan = answers["device_bursts"]._jdf.queryExecution().executedPlan().toString()
+    assert "max_amount" not in plan.split("ReadSchema: ")[1]
+
+
 def test_checks_of_the_written_tables(spark, report):
     checks = audit.checks(spark, DATABASE)
     assert checks["reconciliation"].first()["balanced"]
@@ -137,6 +147,7 @@ def test_checks_of_the_written_tables(spark, report):
 def test_command_line_builds_tables_and_writes_reports(spark, raw_dir, report, tmp_path, capsys):
     spark.sql("CREATE DATABASE IF NOT EXISTS lake_cli")
     period = ["--valid-from", EVENT_RULES.valid_from, "--valid-to", EVENT_RULES.valid_to]
+    period += ["--risk-merchants", EVENT_RULES.risk_merchant_from, EVENT_RULES.risk_merchant_to]
     together, alone = tmp_path / "together", tmp_path / "alone"
     build = ["build", raw_dir, "--database", "lake_cli", "--silver-tables", "--report", str(together)]
     main([*build, *period])
@@ -152,6 +163,8 @@ def test_command_line_builds_tables_and_writes_reports(spark, raw_dir, report, t
         spikes = spark.read.option("header", True).csv(f"{out}/spend_spikes")
         assert spikes.count() == report.amount_spikes
         assert spikes.filter("NOT startswith(account_id, 'XXXXXXXX')").isEmpty()
+        groups = spark.read.option("header", True).csv(f"{out}/offhour_failure")
+        assert groups.count() == 4
         checked = spark.read.option("header", True).csv(f"{out}/reconciliation").first()
         assert checked["balanced"] == "true"
 

@@ -39,9 +39,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     The cluster names that folder in ``spark.checkpoint.dir``. A machine-local
     folder is used only in local mode with the setting absent.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="paylake-")
     return f"{base.rstrip('/')}/paylake-{label}-{uuid.uuid4().hex}"

@@ -1,6 +1,7 @@
 """Landing, fingerprints, CSV scans and scalar expressions."""
 
 import hashlib
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,7 +79,20 @@ def test_declared_schemas_equal_the_files(spark, sf_dir, name):
 def test_scratch_folder_is_the_configured_one(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert first.startswith(shared) and first != second
+    assert first.startswith(f"{shared}/") and first != second
+
+
+def session_stub(master, conf=None, checkpoint_dir=None):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint_dir)
+    return SimpleNamespace(conf=conf or {}, sparkContext=context)
+
+
+def test_scratch_folder_is_never_machine_local_on_a_cluster():
+    assert scratch_path(session_stub("yarn", {"spark.checkpoint.dir": "s3://a/b/"}), "x").startswith("s3://a/b/pay")
+    assert scratch_path(session_stub("yarn", checkpoint_dir="hdfs:///c"), "x").startswith("hdfs:///c/")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session_stub("yarn"), "x")
+    assert scratch_path(session_stub("local[2]"), "x")
 
 
 def test_union_all_equals_the_single_scan_view(spark, sf_dir):

@@ -114,19 +114,24 @@ NEEDS = {
 }
 
 
-def over(layers: str, select: str) -> str:
-    """``select`` behind a WITH clause for the named layers and all they need."""
+def over(layers: str, select: str, raw: str | None = None) -> str:
+    """``select`` behind a WITH clause for the named layers and all they need.
+
+    ``raw`` replaces the raw payments by another source.
+    """
+    sources = LAYERS if raw is None else {**LAYERS, "raw": raw}
     ordered: list[str] = []
 
     def visit(name: str) -> None:
         for needed in NEEDS.get(name, []):
-            visit(needed)
+            if raw is None or name != "raw":
+                visit(needed)
         if name not in ordered:
             ordered.append(name)
 
     for name in layers.split():
         visit(name)
-    clauses = ",\n".join(f"{name} AS ({LAYERS[name]})" for name in ordered)
+    clauses = ",\n".join(f"{name} AS ({sources[name]})" for name in ordered)
     return f"WITH {clauses}\n{select}"
 
 
@@ -333,7 +338,7 @@ SQL: dict[str, str] = {
     ),
     "warehouse_conform_rejects": over("rejects", "SELECT *, true AS has_rejected_at FROM rejects"),
     "constraint_audit": over(
-        "stored merchant_gold",
+        "stored merchant_gold rejects",
         """SELECT 'gold_account_day' AS table_name, count(*) AS rows,
                   count(*) - count(DISTINCT (account_id, account_day)) AS duplicate_keys,
                   count(*) FILTER (account_id IS NULL) + count(*) FILTER (account_day IS NULL)
@@ -346,7 +351,14 @@ SQL: dict[str, str] = {
                   count(*) FILTER (merchant_id IS NULL) + count(*) FILTER (hour_of_day IS NULL)
                       + count(*) FILTER (failure_rate IS NULL),
                   count(*) FILTER (length(merchant_id) > 32)
-           FROM merchant_gold""",
+           FROM merchant_gold
+           UNION ALL
+           SELECT 'silver_rejects', count(*), 0, 0,
+                  count(*) FILTER (length(txn_id) > 32) + count(*) FILTER (length(account_id) > 32)
+                      + count(*) FILTER (length(merchant_id) > 32)
+                      + count(*) FILTER (length(txn_ts) > 64)
+                      + count(*) FILTER (length(reject_reason) > 64)
+           FROM rejects""",
     ),
     "order_line_key_audit": """
         SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) FILTER (n > 1) AS duplicate_keys

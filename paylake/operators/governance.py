@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from paylake.functions.text import mask_tail
-from paylake.schemas import WarehouseTable
+from paylake.schemas import WAREHOUSE_TABLES, WarehouseTable
 
 # Role names. Only the first one sees clear account ids.
 CLEAR_ROLE = "FRAUD_OPS"
@@ -30,23 +30,35 @@ def audit_constraints(df: DataFrame, table: WarehouseTable) -> DataFrame:
     """One row: how often the declared key, NOT NULL and length rules are broken.
 
     The key check counts rows per key first, so NULL and length tests ride on the
-    same aggregation and a repeated key is reduced before the shuffle.
+    same aggregation and a repeated key is reduced before the shuffle. A table without
+    a key is counted as a whole.
     """
     required = [field.name for field in table.fields if field.required]
     bounded = [field for field in table.fields if field.max_chars is not None]
     nulls = sum((F.col(name).isNull().cast("int") for name in required), F.lit(0))
     too_long = sum(
-        ((F.length(field.name) > field.max_chars).cast("int") for field in bounded), F.lit(0)
+        (F.coalesce((F.length(f.name) > f.max_chars).cast("int"), F.lit(0)) for f in bounded),
+        F.lit(0),
     )
     per_key = df.groupBy(*table.key).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(nulls).alias("null_values"),
-        F.sum(F.coalesce(too_long, F.lit(0))).alias("long_values"),
+        F.sum(too_long).alias("long_values"),
     )
+    repeated = F.count_if(F.col("n") > 1) if table.key else F.lit(0).cast("long")
     return per_key.agg(
         F.lit(table.name).alias("table_name"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+        repeated.alias("duplicate_keys"),
         F.coalesce(F.sum("null_values"), F.lit(0)).alias("null_violations"),
         F.coalesce(F.sum("long_values"), F.lit(0)).alias("length_violations"),
     )
+
+
+def audit_warehouse(tables: dict[str, DataFrame]) -> DataFrame:
+    """Constraint audits of all declared tables, one row each."""
+    audits = [audit_constraints(tables[declared.name], declared) for declared in WAREHOUSE_TABLES]
+    union = audits[0]
+    for audit in audits[1:]:
+        union = union.unionByName(audit)
+    return union

@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from paylake.operators import governance, reconcile
 from paylake.plans import questions
 from paylake.rules import Rules
-from paylake.schemas import WAREHOUSE_ACCOUNT_DAY, WAREHOUSE_MERCHANT_HOUR, WAREHOUSE_REJECTS
+from paylake.schemas import (
+    WAREHOUSE_ACCOUNT_DAY,
+    WAREHOUSE_MERCHANT_HOUR,
+    WAREHOUSE_REJECTS,
+    WAREHOUSE_TABLES,
+)
 
 
 def warehouse_views(
@@ -44,13 +49,16 @@ def checks(spark: SparkSession, database: str | None = None) -> dict[str, DataFr
         return spark.table(f"{database}.{name}" if database else name)
 
     raw, classified = read("bronze_txns"), read("silver_classified")
-    account_days, merchant_hours = read("gold_account_day"), read("gold_merchant_hour")
     return {
         "reconciliation": reconcile.reconciliation(raw, classified),
         "layer_metrics": reconcile.layer_metrics(
-            read("bronze_accounts"), raw, classified, account_days, merchant_hours
+            read("bronze_accounts"),
+            raw,
+            classified,
+            read("gold_account_day"),
+            read("gold_merchant_hour"),
         ),
-        "constraints": governance.audit_constraints(account_days, WAREHOUSE_ACCOUNT_DAY).unionByName(
-            governance.audit_constraints(merchant_hours, WAREHOUSE_MERCHANT_HOUR)
+        "constraints": governance.audit_warehouse(
+            {declared.name: read(declared.name) for declared in WAREHOUSE_TABLES}
         ),
     }

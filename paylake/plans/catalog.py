@@ -332,11 +332,16 @@ def warehouse_conform_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared rules checked on both gold tables as loaded."""
-    account_days = governance.conform(_account_day(spark, sf_dir), WAREHOUSE_ACCOUNT_DAY)
-    merchant_hours = governance.conform(_merchant_hour(spark, sf_dir), WAREHOUSE_MERCHANT_HOUR)
-    return governance.audit_constraints(account_days, WAREHOUSE_ACCOUNT_DAY).unionByName(
-        governance.audit_constraints(merchant_hours, WAREHOUSE_MERCHANT_HOUR)
+    """Declared rules checked on the three warehouse tables as loaded."""
+    rejected = _rejects(spark, sf_dir).withColumn("_rejected_at", F.current_timestamp())
+    return governance.audit_warehouse(
+        {
+            "gold_account_day": governance.conform(_account_day(spark, sf_dir), WAREHOUSE_ACCOUNT_DAY),
+            "gold_merchant_hour": governance.conform(
+                _merchant_hour(spark, sf_dir), WAREHOUSE_MERCHANT_HOUR
+            ),
+            "silver_rejects": governance.conform(rejected, WAREHOUSE_REJECTS),
+        }
     )
 
 

@@ -100,3 +100,4 @@ WAREHOUSE_REJECTS = WarehouseTable(
         Field("_rejected_at", "timestamp_ntz", required=False),
     ),
 )
+WAREHOUSE_TABLES = (WAREHOUSE_ACCOUNT_DAY, WAREHOUSE_MERCHANT_HOUR, WAREHOUSE_REJECTS)

@@ -10,7 +10,7 @@ from paylake.operators.governance import (
     conform,
     masked_view,
 )
-from paylake.schemas import WAREHOUSE_ACCOUNT_DAY, WAREHOUSE_MERCHANT_HOUR
+from paylake.schemas import WAREHOUSE_ACCOUNT_DAY, WAREHOUSE_MERCHANT_HOUR, WAREHOUSE_REJECTS
 
 
 def gold(spark, *rows):
@@ -56,6 +56,17 @@ def test_audit_counts_each_broken_rule(spark):
     }
 
 
+def test_audit_of_a_table_without_key_checks_lengths_only(spark):
+    rows = [("T1", "A", "M", "x" * 65, "r", None)] * 2 + [(None, None, None, "late", "r", None)]
+    df = spark.createDataFrame(
+        rows,
+        "txn_id string, account_id string, merchant_id string, txn_ts string, reject_reason string, "
+        "_rejected_at timestamp",
+    )
+    row = audit_constraints(df, WAREHOUSE_REJECTS).first()
+    assert (row["rows"], row["duplicate_keys"], row["null_violations"], row["length_violations"]) == (3, 0, 0, 2)
+
+
 def test_audit_of_an_empty_table(spark):
     empty = spark.createDataFrame(
         [], "merchant_id string, hour_of_day int, txns long, failed_txns long, failure_rate double"

@@ -2,8 +2,12 @@
 
 import json
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from checks.compare import spark_rows, sql_rows
+from checks.duckdb_sql import GOLD_COLUMNS, MERCHANT_COLUMNS, over
 from paylake.__main__ import main
 from paylake.operators.governance import ANALYST_ROLE, CLEAR_ROLE
 from paylake.plans import audit, medallion
@@ -114,6 +118,36 @@ def test_check_accounts_rejects_accounts_outside_the_master(spark, sf_dir, repor
     assert checked.bronze_txns - checked.duplicates == report.bronze_txns - report.duplicates
 
 
+def test_skewed_build_equals_sql_over_the_same_files(spark, sf_dir, report, tmp_path):
+    """A third of all rows on one id with differing content, a third on one account."""
+    number = F.substring("txn_id", 2, 8).cast("long")
+    skewed = raw_payments(table(spark, sf_dir, "events")).withColumns(
+        {
+            "account_id": F.when(number % 3 == 1, "ACC00000001").otherwise(F.col("account_id")),
+            "txn_id": F.when(number % 3 == 0, "T00000000").otherwise(F.col("txn_id")),
+        }
+    )
+    write_csv(skewed, str(tmp_path / "txns.csv"))
+    write_csv(account_master(table(spark, sf_dir, "customer"), "c_custkey"), str(tmp_path / "accounts.csv"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake_skewed")
+    built = medallion.run(spark, str(tmp_path), EVENT_RULES, "lake_skewed")
+    assert built.duplicates > built.bronze_txns // 4
+
+    con = duckdb.connect()
+    files = f"SELECT * FROM read_csv('{tmp_path}/txns.csv/*.csv', header = true, all_varchar = true)"
+    gold = spark.table("lake_skewed.gold_account_day").withColumns(
+        {name: F.col(name).cast("double") for name in ("max_amount", "avg_amount_30d_trailing")}
+    )
+    for written, layer, columns in (
+        (gold, "gold", GOLD_COLUMNS),
+        (spark.table("lake_skewed.gold_merchant_hour"), "merchant_gold", MERCHANT_COLUMNS),
+        (spark.table("lake_skewed.silver_rejects").drop("_rejected_at"), "rejects", "*"),
+    ):
+        names, expected = sql_rows(con, over(layer, f"SELECT {columns} FROM {layer}", raw=files))
+        assert sorted(written.columns) == names
+        assert spark_rows(written) == expected
+
+
 def test_reports_respect_the_role(spark, report):
     masked = audit.answers(audit.warehouse_views(spark, ANALYST_ROLE, DATABASE), EVENT_RULES)
     clear = audit.answers(audit.warehouse_views(spark, CLEAR_ROLE, DATABASE), EVENT_RULES)

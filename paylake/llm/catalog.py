@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bit_packing, packing, sharding, simhash, token_counts
+from paylake.llm import (
+    bit_packing,
+    decontamination,
+    line_templates,
+    packing,
+    secrets,
+    sharding,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from paylake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +36,24 @@ def op2_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_packing.read_documents(spark, path)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.line_report(spark, table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"))
 
@@ -43,10 +71,14 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_token_counts,
         op2_bit_packing,
+        op4_decontamination,
+        op5_toxicity,
+        op6_line_dedup,
+        op7_secret_scans,
         op8_sharding,
         op9_simhash,
         op10_best_fit_packing,
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_line_dedup": line_templates.sql()}

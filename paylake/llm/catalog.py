@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylake.llm import (
     bit_packing,
+    chunk_fingerprints,
     decontamination,
     line_templates,
     packing,
@@ -36,6 +37,10 @@ def op2_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_packing.read_documents(spark, path)
 
 
+def op3_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_fingerprints.compare_with_edits(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_token_counts,
         op2_bit_packing,
+        op3_chunk_fingerprints,
         op4_decontamination,
         op5_toxicity,
         op6_line_dedup,

@@ -101,35 +101,38 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()
     )
 
 
-def drop_recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``docs`` with the struct ``dedup``: ``text`` without the dropped lines, their number and ``kept``.
+def drop_recurring_lines(
+    spark: SparkSession, docs: DataFrame, rules: Rules = Rules(), column: str = "dedup"
+) -> DataFrame:
+    """``docs`` with the struct ``column``: ``text`` without the dropped lines, their number and ``kept``.
 
     The first line of a recurring template, by doc_id (nulls first), text digest and place, stays where it
     is, so copies of a document lose their lines and the first of them does not. ``kept`` is false for
     a document that is left with less than ``min_kept`` of its tokens. Null texts stay null and empty ones
     empty, both kept. Rows that repeat an id and its text count as one document and get the same lines
-    dropped. Columns of ``docs`` stay as they are; it must not have one named ``dedup``.
+    dropped. Columns of ``docs`` stay as they are; ``column`` must not be among them.
     """
     found = recurring_lines(spark, docs.select("doc_id", "text"), rules).where(~F.col("first"))
     gone = found.groupBy("doc_id", "content").agg(F.collect_set("line_no").alias("gone"))
-    gone = gone.select(F.struct("doc_id", "content", "gone").alias("dedup"))
+    gone = gone.select(F.struct("doc_id", "content", "gone").alias(column))
+    of = lambda name: F.col(f"{column}.{name}")
     # A document without an id or a text joins by null-safe equality.
-    same = docs["doc_id"].eqNullSafe(F.col("dedup.doc_id")) & (F.md5(docs["text"]) == F.col("dedup.content"))
+    same = docs["doc_id"].eqNullSafe(of("doc_id")) & (F.md5(docs["text"]) == of("content"))
     joined = docs.join(gone, same, "left")
     lines = F.split(docs["text"], "\n")
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dedup.gone"))
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), of("gone"))
     left = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("dedup").isNull(), docs["text"]).otherwise(left)
+    text = F.when(F.col(column).isNull(), docs["text"]).otherwise(left)
     count = lambda t: F.size(_tokens(F.translate(t, "\n", " ")))
-    kept = F.col("dedup").isNull() | (count(left) >= count(docs["text"]) * rules.min_kept)
+    kept = F.col(column).isNull() | (count(left) >= count(docs["text"]) * rules.min_kept)
     return joined.select(
         *[docs[name] for name in docs.columns],
         F.struct(
             text.alias("text"),
             F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-            F.coalesce(F.size("dedup.gone"), F.lit(0)).alias("n_dropped"),
+            F.coalesce(F.size(of("gone")), F.lit(0)).alias("n_dropped"),
             kept.alias("kept"),
-        ).alias("dedup"),
+        ).alias(column),
     )
 
 

@@ -65,14 +65,17 @@ def fingerprints(strings: pa.Array, words: int) -> np.ndarray:
 
 
 def with_fingerprint(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long); null texts have no words: zero."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """``doc_id``, digest of the text and ``fp`` (the 64 bits as a signed long); null texts count as empty."""
+    schema = pa.schema([("doc_id", pa.int64()), ("content", pa.string()), ("fp", pa.int64())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = fingerprints(arrow.texts(batch), words).view(np.int64)
-        return arrow.table(schema, doc_id=batch.column("doc_id").cast(pa.int64()), fp=found)
+        return arrow.table(
+            schema, doc_id=batch.column("doc_id").cast(pa.int64()), content=batch.column("content"), fp=found
+        )
 
-    return arrow.map_slices(docs.select("doc_id", "text"), run, schema)
+    content = F.md5(F.coalesce("text", F.lit(""))).alias("content")
+    return arrow.map_slices(docs.select("doc_id", "text", content), run, schema)
 
 
 def _middle(keys: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) -> np.ndarray:
@@ -279,6 +282,19 @@ def links(spark: SparkSession, distinct: DataFrame, limit: int) -> DataFrame:
     return found[0].union(found[1])
 
 
+def _classes(spark: SparkSession, rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Root of every fingerprint, and per root the component's id and its document to keep."""
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
+    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(place).alias("keeper"))
+    classes = stored(spark, classes, "classes")
+    roots = components(spark, links(spark, classes.select("fp"), limit))
+    rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first_id", "keeper", F.coalesce("root", "fp").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.min("keeper").alias("keeper"))
+    return rooted.select("fp", "root"), least
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, limit: int = 4) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document.
 
@@ -288,12 +304,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, limit:
     enter the join once; repeated rows stay repeated. An empty table gives no rows.
     """
     rows = stored(spark, with_fingerprint(docs, words), "fingerprints")
-    classes = stored(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = components(spark, links(spark, classes.select("fp"), limit))
-    rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select(
+    rooted, least = _classes(spark, rows, limit)
+    named = rooted.join(least, "root").select("fp", "component_id")
+    return rows.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keepers(spark: SparkSession, docs: DataFrame, words: int = 4, limit: int = 4) -> DataFrame:
+    """One document of each component as ``doc_id, content`` (md5 of its text, null as empty).
+
+    It is the one with the smallest id, those without an id last, and of several texts with that id
+    the one with the smallest digest.
+    """
+    rows = stored(spark, with_fingerprint(docs, words), "fingerprints")
+    _, least = _classes(spark, rows, limit)
+    return least.select("keeper.doc_id", "keeper.content")

@@ -170,7 +170,7 @@ def followed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / parts for i in range(1, parts)]
     borders = rows.select("doc_id").approxQuantile("doc_id", shares, 0.2 / parts) if shares else []
-    splits = [float("-inf"), *sorted(set(borders)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(borders)) or [0.0]), float("inf")]
     bucket = Bucketizer(splits=splits, inputCol="_id", outputCol="_bucket", handleInvalid="keep")
     rows = bucket.transform(rows.withColumn("_id", F.col("doc_id").cast("double")))
     last = len(splits) - 2

@@ -44,7 +44,6 @@ RULES = (*BASE_RULES, *EXTRA_RULES)
 
 
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
-LEDGER = f"blob string, scanned array<string>, spans array<{SPAN}>"
 
 
 def blob_id(text: Column) -> Column:
@@ -53,7 +52,8 @@ def blob_id(text: Column) -> Column:
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LEDGER)
+    kinds = {"blob": "string", "scanned": "array<string>", "spans": f"array<{SPAN}>"}
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()])
 
 
 def _key(rule: Rule) -> str:

@@ -132,8 +132,8 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 24) -> D
     of the smallest possible largest size (UTF-8 bytes plus 8 a row, law ``bytes``). Greedy filling finds
     that size; the cuts within it are the ones next to equal shares. A null text counts
     as empty. Within a shard, rows follow their groups and then ``doc_id``, nulls first. Repeated
-    rows get a slot each. An empty table gives no rows. Shards at the end can stay empty when groups
-    are few or one is very large.
+    rows get a slot each. An empty table gives no rows. Shards can stay empty when groups are few or
+    one is very large.
 
     The driver sees prefix sums only at about ``FAN_OUT`` places a shard and refines the
     stretches where a cut can fall, so it holds a few thousand numbers at any input size.

@@ -44,9 +44,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component, the one with the smallest id; one row of it where rows repeat."""
-    keep = simhash.keepers(spark, docs.select("doc_id", "text")).select(F.struct("*").alias("keep"))
+    name = _free(docs, "keep")
+    keep = simhash.keepers(spark, docs.select("doc_id", "text")).select(F.struct("*").alias(name))
     content = F.md5(F.coalesce(docs["text"], F.lit("")))
-    same = docs["doc_id"].eqNullSafe(F.col("keep.doc_id")) & (content == F.col("keep.content"))
+    same = docs["doc_id"].eqNullSafe(F.col(f"{name}.doc_id")) & (content == F.col(f"{name}.content"))
     kept = docs.join(keep, same, "left_semi")
     nth = _free(docs, "nth")
     copies = Window.partitionBy("doc_id", F.md5(F.coalesce("text", F.lit("")))).orderBy(F.lit(0))

@@ -76,23 +76,23 @@ def build_tables(benchmark: list[tuple[object, str | None]], size: int = WINDOW)
         by_length[window.count(b" ") + 1].append(window)
     out = []
     for length, windows in sorted(by_length.items()):
-        size = min(BLOCK_WORDS, length)
+        block = min(BLOCK_WORDS, length)
         raw = np.frombuffer(b" ".join(windows), np.uint8)
         words = Words(raw, np.array([0, len(raw)]))
-        keys = blocks(words.hash, size).reshape(-1, length)
+        keys = blocks(words.hash, block).reshape(-1, length)
         bits = max(10, (16 * keys.size - 1).bit_length())
-        shift = np.full(1 << bits, length - size + 1, np.int16)
-        for at in range(size - 1, length):
+        shift = np.full(1 << bits, length - block + 1, np.int16)
+        for at in range(block - 1, length):
             np.minimum.at(shift, keys[:, at] >> np.uint64(64 - bits), length - 1 - at)
         order = np.argsort(keys[:, -1], kind="stable")
         out.append(
             Tables(
                 length,
-                size,
+                block,
                 bits,
                 shift,
                 keys[order, -1],
-                keys[order, size - 1],
+                keys[order, block - 1],
                 [windows[i] for i in order],
                 [sorted(holders[windows[i]]) for i in order],
             )
@@ -167,7 +167,7 @@ def _search(names: list[str], column: str, shared, schema: pa.Schema):
             change[inner] = hit[inner] | hit[inner - 1]  # spans end with their text
             places = np.flatnonzero(change)
             spans: dict[int, list[dict]] = defaultdict(list)
-            for a, b in zip(places, np.append(places[1:], len(hit)), strict=True):
+            for a, b in zip(places, np.append(places[1:], len(hit)), strict=False):
                 if hit[a]:
                     row = int(np.searchsorted(words.first, a, side="right")) - 1
                     base = words.first[row]

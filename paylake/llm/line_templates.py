@@ -8,12 +8,16 @@ of templates that recur across documents are dropped, but for the first such lin
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm.ordering import stored
+from paylake.llm import arrow
+from paylake.llm.ordering import small_side, stored
 
 FIELD = "<*>"
 
@@ -28,47 +32,71 @@ class Rules:
     min_kept: float = 0.2  # a document left with a smaller share of its tokens is dropped as a copy
 
 
-def _tokens(line: Column) -> Column:
-    return F.array_remove(F.split(line, " "), "")
+FORMS = pa.schema(
+    [("doc_id", pa.int64()), ("content", pa.string()), ("line_no", pa.int32()), ("leaf", pa.int64()), ("form", pa.string())]
+)
+_VARIABLE = re.compile("[^ ]*[0-9][^ ]*")
 
 
-def _masked(tokens: Column) -> Column:
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), FIELD).otherwise(t))
+def _lines(docs: DataFrame, rules: Rules, forms: bool) -> DataFrame:
+    """Lines that are long enough, with a hash of their leaf; with ``forms`` also their masked tokens.
 
+    A document is its id and the digest of its text.
+    """
 
-def _lines(docs: DataFrame, rules: Rules) -> DataFrame:
-    """Lines that are long enough, with their leaf; a document is its id and its text."""
-    lines = docs.select(
-        "doc_id", F.md5("text").alias("content"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
-    )
-    tokens = _tokens(F.col("line"))
-    leaf = F.concat_ws(" ", F.size(tokens).cast("string"), _masked(F.slice(tokens, 1, rules.depth)))
-    return lines.where(F.size(tokens) >= rules.min_tokens).withColumn("leaf", leaf)
+    def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, numbers, leaves, masked = [], [], [], []
+        digest = xxhash.xxh64_intdigest
+        for i, text in enumerate(batch.column("text").to_pylist()):
+            for number, line in enumerate(text.split("\n") if text else ()):
+                tokens = [token for token in line.split(" ") if token]
+                if len(tokens) < rules.min_tokens:
+                    continue
+                lead = _VARIABLE.sub(FIELD, " ".join(tokens[: rules.depth]))
+                rows.append(i)
+                numbers.append(number)
+                leaves.append(digest(f"{len(tokens)} {lead}") - (1 << 63))
+                if forms:
+                    masked.append(_VARIABLE.sub(FIELD, " ".join(tokens)))
+        schema = FORMS if forms else FORMS.remove(4)
+        return arrow.table(
+            schema,
+            doc_id=batch.column("doc_id").take(pa.array(rows, pa.int64())),
+            content=batch.column("content").take(pa.array(rows, pa.int64())),
+            line_no=numbers,
+            leaf=leaves,
+            form=masked,
+        )
+
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("content"), "text")
+    return arrow.map_slices(source, parse, FORMS if forms else FORMS.remove(4))
 
 
 def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Every line (doc_id, content, line_no) of a recurring template, with ``template`` and ``first``.
 
-    Leaves of fewer than ``min_docs`` documents are left out before any token is looked at, and
-    equal lines are merged first, so a line shared by a third of all documents is counted by partial sums.
+    Leaves of fewer than ``min_docs`` documents are left out before any token is looked at, by
+    a hash, which at worst lets a few more lines through. Equal lines are merged first, so a line
+    that a third of all documents share is counted by partial sums.
     """
-    lines = _lines(docs, rules)
     shared = (
-        lines.select("leaf", "doc_id", "content")
+        _lines(docs, rules, False)
+        .select("leaf", "doc_id", "content")
         .distinct()
         .groupBy("leaf")
         .count()
         .where(F.col("count") >= rules.min_docs)
         .select("leaf")
     )
-    candidates = lines.join(shared, "leaf", "left_semi").select(
-        "doc_id", "content", "line_no", "leaf", _masked(_tokens(F.col("line"))).alias("tokens")
-    )
-    candidates = stored(spark, candidates, "lines")
-    distinct = candidates.groupBy("leaf", "tokens", "doc_id", "content").agg(F.lit(1).alias("one"))
-    distinct = stored(spark, distinct.groupBy("leaf", "tokens").agg(F.count("one").alias("docs")), "forms")
+    shared = small_side(stored(spark, shared, "leaves"), 64)
+    lines = _lines(docs, rules, True).join(shared, "leaf", "left_semi").drop("leaf")
+    candidates = stored(spark, lines, "lines")
+    distinct = candidates.select("form", "doc_id", "content").distinct().groupBy("form").count()
+    distinct = stored(spark, distinct.withColumnRenamed("count", "docs"), "forms")
     # The leading tokens are the path; places behind them are constant where documents agree.
-    places = distinct.select("leaf", "tokens", "docs", F.posexplode("tokens").alias("place", "token"))
+    tokens = F.split("form", " ")
+    leaf = F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, rules.depth))
+    places = distinct.select("form", "docs", leaf.alias("leaf"), F.posexplode(tokens).alias("place", "token"))
     constant = (
         places.where(F.col("place") >= rules.depth)
         .groupBy("leaf", "place", "token")
@@ -80,27 +108,33 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()
     field = F.when(F.col("constant") | (F.col("place") < rules.depth), F.col("token")).otherwise(FIELD)
     general = (
         places.join(constant, ["leaf", "place", "token"], "left")
-        .groupBy("leaf", "tokens")
+        .groupBy("form")
         .agg(F.array_sort(F.collect_list(F.struct("place", field.alias("token")))).alias("parts"))
-        .select("leaf", "tokens", F.col("parts.token").alias("template"))
+        .select("form", F.col("parts.token").alias("template"))
     )
     constants = F.size("template") - F.size(F.filter("template", lambda t: t == FIELD))
-    general = general.where(constants >= F.size("template") * rules.min_constant)
-    general = general.withColumn("template", F.concat_ws(" ", "template"))
-    parsed = stored(spark, candidates.join(general, ["leaf", "tokens"]).drop("leaf"), "parsed")
+    general = general.where(constants >= F.size("template") * rules.min_constant).select(
+        "form", F.concat_ws(" ", "template").alias("template"), F.size("template").alias("n_tokens")
+    )
+    parsed = stored(spark, candidates.join(general, "form").drop("form"), "parsed")
     place = F.struct("doc_id", "content", "line_no")
     recurring = (
         parsed.groupBy("template", "doc_id", "content")
-        .agg(F.min("line_no").alias("line_no"), F.first(F.size("tokens")).alias("n_tokens"))
+        .agg(F.min("line_no").alias("line_no"), F.max("n_tokens").alias("n_tokens"))
         .groupBy("template")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.max("n_tokens").alias("n_tokens"), F.min(place).alias("keeper"))
         .where((F.col("n_docs") >= rules.min_docs) & (F.col("n_docs") * F.col("n_tokens") >= rules.min_mass))
     )
-    return parsed.join(recurring, "template").select(
+    return parsed.drop("n_tokens").join(recurring, "template").select(
         "doc_id", "content", "line_no", "template", place.eqNullSafe(F.col("keeper")).alias("first")
     )
 
 
+def _count(text: Column) -> Column:
+    """Number of tokens."""
+    return F.size(F.array_remove(F.split(F.translate(text, "\n", " "), " "), ""))
+
+
 def drop_recurring_lines(
     spark: SparkSession, docs: DataFrame, rules: Rules = Rules(), column: str = "dedup"
 ) -> DataFrame:
@@ -114,6 +148,7 @@ def drop_recurring_lines(
     """
     found = recurring_lines(spark, docs.select("doc_id", "text"), rules).where(~F.col("first"))
     gone = found.groupBy("doc_id", "content").agg(F.collect_set("line_no").alias("gone"))
+    gone = small_side(stored(spark, gone, "gone"), 256)
     gone = gone.select(F.struct("doc_id", "content", "gone").alias(column))
     of = lambda name: F.col(f"{column}.{name}")
     # A document without an id or a text joins by null-safe equality.
@@ -123,8 +158,7 @@ def drop_recurring_lines(
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), of("gone"))
     left = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
     text = F.when(F.col(column).isNull(), docs["text"]).otherwise(left)
-    count = lambda t: F.size(_tokens(F.translate(t, "\n", " ")))
-    kept = F.col(column).isNull() | (count(left) >= count(docs["text"]) * rules.min_kept)
+    kept = F.col(column).isNull() | (_count(left) >= _count(docs["text"]) * rules.min_kept)
     return joined.select(
         *[docs[name] for name in docs.columns],
         F.struct(

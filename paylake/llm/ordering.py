@@ -53,3 +53,15 @@ def numbered(
             "before", F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0))
         )
     return out.drop("_part", "_place", "_first", "_base")
+
+
+# Tables up to this size go to every executor instead of being joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df``, marked for broadcast if its counted rows prove that it is small.
+
+    Beyond ``BROADCAST_BYTES`` Spark plans the join as it likes. ``df`` should be a stored table.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

@@ -35,7 +35,15 @@ class Rules:
 FORMS = pa.schema(
     [("doc_id", pa.int64()), ("content", pa.string()), ("line_no", pa.int32()), ("leaf", pa.int64()), ("form", pa.string())]
 )
-_VARIABLE = re.compile("[^ ]*[0-9][^ ]*")
+_DIGIT = re.compile("[0-9]")
+
+
+def _masked(tokens: list[str]) -> str:
+    """Tokens in a row, those with a digit as variable fields."""
+    joined = " ".join(tokens)
+    if not _DIGIT.search(joined):
+        return joined
+    return " ".join(FIELD if _DIGIT.search(token) else token for token in tokens)
 
 
 def _lines(docs: DataFrame, rules: Rules, forms: bool) -> DataFrame:
@@ -52,12 +60,12 @@ def _lines(docs: DataFrame, rules: Rules, forms: bool) -> DataFrame:
                 tokens = [token for token in line.split(" ") if token]
                 if len(tokens) < rules.min_tokens:
                     continue
-                lead = _VARIABLE.sub(FIELD, " ".join(tokens[: rules.depth]))
+                lead = _masked(tokens[: rules.depth])
                 rows.append(i)
                 numbers.append(number)
                 leaves.append(digest(f"{len(tokens)} {lead}") - (1 << 63))
                 if forms:
-                    masked.append(_VARIABLE.sub(FIELD, " ".join(tokens)))
+                    masked.append(_masked(tokens))
         schema = FORMS if forms else FORMS.remove(4)
         return arrow.table(
             schema,
@@ -91,15 +99,20 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()
     shared = small_side(stored(spark, shared, "leaves"), 64)
     lines = _lines(docs, rules, True).join(shared, "leaf", "left_semi").drop("leaf")
     candidates = stored(spark, lines, "lines")
-    distinct = candidates.select("form", "doc_id", "content").distinct().groupBy("form").count()
-    distinct = stored(spark, distinct.withColumnRenamed("count", "docs"), "forms")
-    # The leading tokens are the path; places behind them are constant where documents agree.
+    forms = candidates.select("form", "doc_id", "content").distinct().groupBy("form").count()
     tokens = F.split("form", " ")
     leaf = F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, rules.depth))
-    places = distinct.select("form", "docs", leaf.alias("leaf"), F.posexplode(tokens).alias("place", "token"))
+    forms = forms.select("form", F.col("count").alias("docs"), leaf.alias("leaf"))
+    forms = stored(spark, forms.withColumn("form_no", F.monotonically_increasing_id()), "forms")
+    # Exploded tokens carry numbers of their form and leaf, not the texts.
+    leaves = forms.groupBy("leaf").agg(F.min("form_no").alias("leaf_no"))
+    places = forms.join(leaves, "leaf").select(
+        "leaf_no", "form_no", "docs", F.posexplode(tokens).alias("place", "token")
+    )
+    # The leading tokens are the path; places behind them are constant where documents agree.
     constant = (
         places.where(F.col("place") >= rules.depth)
-        .groupBy("leaf", "place", "token")
+        .groupBy("leaf_no", "place", "token")
         .agg(F.sum("docs").alias("n"))
         .where(F.col("n") >= rules.min_docs)
         .drop("n")
@@ -107,15 +120,16 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()
     )
     field = F.when(F.col("constant") | (F.col("place") < rules.depth), F.col("token")).otherwise(FIELD)
     general = (
-        places.join(constant, ["leaf", "place", "token"], "left")
-        .groupBy("form")
+        places.join(constant, ["leaf_no", "place", "token"], "left")
+        .groupBy("form_no")
         .agg(F.array_sort(F.collect_list(F.struct("place", field.alias("token")))).alias("parts"))
-        .select("form", F.col("parts.token").alias("template"))
+        .select("form_no", F.col("parts.token").alias("template"))
     )
     constants = F.size("template") - F.size(F.filter("template", lambda t: t == FIELD))
     general = general.where(constants >= F.size("template") * rules.min_constant).select(
-        "form", F.concat_ws(" ", "template").alias("template"), F.size("template").alias("n_tokens")
+        "form_no", F.concat_ws(" ", "template").alias("template"), F.size("template").alias("n_tokens")
     )
+    general = general.join(forms.select("form_no", "form"), "form_no").drop("form_no")
     parsed = stored(spark, candidates.join(general, "form").drop("form"), "parsed")
     place = F.struct("doc_id", "content", "line_no")
     recurring = (
@@ -132,7 +146,7 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()
 
 def _count(text: Column) -> Column:
     """Number of tokens."""
-    return F.size(F.array_remove(F.split(F.translate(text, "\n", " "), " "), ""))
+    return F.size(F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), ""))
 
 
 def drop_recurring_lines(

@@ -36,7 +36,9 @@ LAYERS = {
         SELECT * FROM raw
         QUALIFY row_number() OVER (
             PARTITION BY txn_id
-            ORDER BY txn_ts, account_id, merchant_id, merchant_category, device_id, status, amount
+            ORDER BY txn_ts NULLS LAST, account_id NULLS LAST, merchant_id NULLS LAST,
+                     merchant_category NULLS LAST, device_id NULLS LAST, status NULLS LAST,
+                     amount NULLS LAST
         ) = 1""",
     "parsed": """
         SELECT *, TRY_CAST(amount AS DECIMAL(18,2)) AS amount_cast,
@@ -158,12 +160,22 @@ MERCHANT_COLUMNS = (
     "merchant_id, CAST(hour_of_day AS INTEGER) AS hour_of_day, txns, failed_txns, failure_rate"
 )
 
+# Payments as deduplication tells them apart: by id, without one by all columns.
+DISTINCT_PAYMENTS = """(SELECT count(DISTINCT txn_id) FROM raw)
+    + (SELECT count(*) FROM (SELECT DISTINCT * FROM raw WHERE txn_id IS NULL))"""
+
+
+def audit(name: str, source: str, key: str, required: str, bounded: dict[str, int]) -> str:
+    """Repeated keys, NULLs in required columns and texts beyond their bound, as one row."""
+    nulls = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in required.split()) or "0"
+    longer = " + ".join(f"count(*) FILTER (length({c}) > {n})" for c, n in bounded.items()) or "0"
+    repeated = f"(SELECT count(*) FROM (SELECT 1 FROM {source} GROUP BY {key} HAVING count(*) > 1))"
+    return f"""SELECT '{name}' AS table_name, count(*) AS rows, {repeated if key else 0} AS duplicate_keys,
+                  {nulls} AS null_violations, {longer} AS length_violations
+           FROM {source}"""
+
+
 SQL: dict[str, str] = {
-    "range_source": """
-        SELECT printf('ACC%08d', i) AS account_id, printf('BANK%d', i % 8) AS bank,
-               printf('CITY%d', i % 10) AS home_city, printf('DEV%07d', i) AS primary_device,
-               printf('DEV9%06d', i) AS secondary_device
-        FROM (SELECT unnest(range(0, max(c_custkey) + 1)) AS i FROM customer)""",
     "raw_payments": over("raw", f"SELECT {RAW_COLUMNS} FROM raw"),
     "raw_payments_union_all": over("raw", f"SELECT {RAW_COLUMNS} FROM raw"),
     "csv_roundtrip": over("raw", f"SELECT {RAW_COLUMNS} FROM raw"),
@@ -180,17 +192,21 @@ SQL: dict[str, str] = {
     "bronze_ingest_meta": over(
         "raw",
         """SELECT count(*) AS bronze_txns, count(*) AS rows_with_source_file,
-                  CAST(1 AS BIGINT) AS ingest_times, count(*) AS rows_with_fingerprint
+                  CAST(1 AS BIGINT) AS ingest_times, count(*) AS rows_with_fingerprint,
+                  CAST(0 AS BIGINT) AS malformed_lines
            FROM raw""",
     ),
+    "lake_build": over("gold", f"SELECT {GOLD_COLUMNS} FROM gold"),
+    "lake_overwrite": over("merchant_gold", f"SELECT {MERCHANT_COLUMNS} FROM merchant_gold"),
+    "lake_masked_rejects": over("rejects", f"SELECT * REPLACE ({MASKED} AS account_id) FROM rejects"),
     "dedup_exact": over("deduped", f"SELECT {RAW_COLUMNS} FROM deduped"),
     "dedup_row_number": """
         SELECT * FROM lineitem
         QUALIFY row_number() OVER (
             PARTITION BY l_orderkey, l_linenumber
-            ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
-                     l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
-                     l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST
+            ORDER BY l_partkey NULLS LAST, l_suppkey NULLS LAST, l_quantity NULLS LAST,
+                     l_extendedprice NULLS LAST, l_discount NULLS LAST, l_tax NULLS LAST,
+                     l_returnflag NULLS LAST, l_linestatus NULLS LAST, l_shipdate NULLS LAST
         ) = 1""",
     "typed_parse": over(
         "raw",
@@ -200,7 +216,14 @@ SQL: dict[str, str] = {
            FROM raw""",
     ),
     "rejects_cascade": over("rejects", "SELECT * FROM rejects"),
-    "union_by_name": over("rejects", "SELECT * FROM rejects"),
+    "union_by_name": over(
+        "silver rejects",
+        """SELECT txn_id, account_id, merchant_id, merchant_category, txn_ts, device_id, status,
+                  CAST(amount AS DOUBLE) AS amount, account_day
+           FROM silver
+           UNION ALL BY NAME
+           SELECT txn_id, account_id, merchant_id, txn_ts AS raw_txn_ts, reject_reason FROM rejects""",
+    ),
     "rejects_by_reason": over(
         "rejects", "SELECT reject_reason, count(*) AS rows FROM rejects GROUP BY reject_reason"
     ),
@@ -211,26 +234,31 @@ SQL: dict[str, str] = {
            FROM silver""",
     ),
     "referential_rejects": over(
-        "parsed accounts",
+        "parsed",
         f"""SELECT * FROM (
               SELECT txn_id, account_id, merchant_id, txn_ts,
                      CASE WHEN amount_cast IS NULL THEN 'unparseable_amount'
-                          WHEN NOT EXISTS (SELECT 1 FROM accounts
-                                           WHERE accounts.account_id = parsed.account_id)
+                          WHEN NOT EXISTS (SELECT 1 FROM customer
+                                           WHERE c_custkey % 13 <> 4
+                                             AND printf('ACC%08d', c_custkey) = parsed.account_id)
                           THEN 'unknown_account'
                           WHEN NOT {IN_PERIOD} THEN 'timestamp_out_of_range'
                      END AS reject_reason
               FROM parsed)
             WHERE reject_reason IS NOT NULL""",
     ),
+    "unlabelled_documents": """
+        SELECT doc_id, lang, source, false AS labelled FROM documents
+        WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)""",
     "silver_reconciliation": over(
-        "raw classified",
-        """SELECT *, bronze_rows - deduped_rows AS duplicate_rows,
-                  bronze_rows - (bronze_rows - deduped_rows) - reject_rows = clean_rows AS balanced
+        "raw silver rejects",
+        f"""SELECT *, bronze_rows - duplicate_rows - reject_rows = clean_rows AS balanced
            FROM (SELECT (SELECT count(*) FROM raw) AS bronze_rows,
-                        count(*) AS deduped_rows,
-                        count(*) FILTER (reject_reason IS NULL) AS clean_rows,
-                        count(*) FILTER (reject_reason IS NOT NULL) AS reject_rows,
+                        {DISTINCT_PAYMENTS} AS distinct_payments,
+                        (SELECT count(*) FROM raw) - {DISTINCT_PAYMENTS} AS duplicate_rows,
+                        (SELECT count(*) FROM silver) AS clean_rows,
+                        count(*) AS reject_rows,
+                        count(*) FILTER (reject_reason = 'malformed_line') AS malformed_line_rows,
                         count(*) FILTER (reject_reason = 'unparseable_amount')
                             AS unparseable_amount_rows,
                         count(*) FILTER (reject_reason = 'unknown_account')
@@ -238,12 +266,12 @@ SQL: dict[str, str] = {
                         count(*) FILTER (reject_reason = 'timestamp_out_of_range')
                             AS out_of_range_rows,
                         count(*) FILTER (reject_reason = 'missing_txn_id') AS missing_id_rows
-                 FROM classified)""",
+                 FROM rejects)""",
     ),
     "duplicate_counts": over(
         "raw",
-        """SELECT count(*) AS bronze_rows, count(DISTINCT txn_id) AS distinct_keys,
-                  count(*) - count(DISTINCT txn_id) AS duplicate_rows
+        f"""SELECT count(*) AS bronze_rows, {DISTINCT_PAYMENTS} AS distinct_payments,
+                  count(*) - {DISTINCT_PAYMENTS} AS duplicate_rows
            FROM raw""",
     ),
     "account_daily_agg": over(
@@ -282,8 +310,7 @@ SQL: dict[str, str] = {
     "q_spend_spikes_stored": over(
         "stored",
         """SELECT account_id, account_day, max_amount, baseline_cents / 100 AS baseline_30d,
-                  round(cents / nullif(baseline_cents, 0), 2) AS spike_multiplier,
-                  CAST(prior_txn_count AS INTEGER) AS prior_txn_count
+                  round(cents / nullif(baseline_cents, 0), 2) AS spike_multiplier, prior_txn_count
            FROM stored WHERE prior_txn_count >= 5 AND cents >= 5 * baseline_cents""",
     ),
     "q_device_bursts": over(
@@ -322,47 +349,53 @@ SQL: dict[str, str] = {
     "masked_rejects": over("rejects", f"SELECT * REPLACE ({MASKED} AS account_id) FROM rejects"),
     "warehouse_conform": over(
         "stored",
-        """SELECT account_id, account_day, CAST(txns AS INTEGER) AS txns, max_amount,
-                  baseline_cents / 100 AS avg_amount_30d_trailing,
-                  CAST(prior_txn_count AS INTEGER) AS prior_txn_count,
-                  CAST(distinct_devices AS INTEGER) AS distinct_devices,
+        """SELECT account_id, account_day, txns, max_amount,
+                  baseline_cents / 100 AS avg_amount_30d_trailing, prior_txn_count, distinct_devices,
                   is_amount_spike, is_device_burst
            FROM stored""",
     ),
     "warehouse_conform_merchant_hour": over(
         "merchant_gold",
         """SELECT merchant_id, CAST(hour_of_day AS INTEGER) AS hour_of_day,
-                  CAST(txns AS INTEGER) AS txns, CAST(failed_txns AS INTEGER) AS failed_txns,
-                  failure_rate
+                  txns, failed_txns, failure_rate
            FROM merchant_gold""",
     ),
     "warehouse_conform_rejects": over("rejects", "SELECT *, true AS has_rejected_at FROM rejects"),
     "constraint_audit": over(
         "stored merchant_gold rejects",
-        """SELECT 'gold_account_day' AS table_name, count(*) AS rows,
-                  count(*) - count(DISTINCT (account_id, account_day)) AS duplicate_keys,
-                  count(*) FILTER (account_id IS NULL) + count(*) FILTER (account_day IS NULL)
-                      + count(*) FILTER (max_amount IS NULL) AS null_violations,
-                  count(*) FILTER (length(account_id) > 32) AS length_violations
-           FROM stored
-           UNION ALL
-           SELECT 'gold_merchant_hour', count(*),
-                  count(*) - count(DISTINCT (merchant_id, hour_of_day)),
-                  count(*) FILTER (merchant_id IS NULL) + count(*) FILTER (hour_of_day IS NULL)
-                      + count(*) FILTER (failure_rate IS NULL),
-                  count(*) FILTER (length(merchant_id) > 32)
-           FROM merchant_gold
-           UNION ALL
-           SELECT 'silver_rejects', count(*), 0, 0,
-                  count(*) FILTER (length(txn_id) > 32) + count(*) FILTER (length(account_id) > 32)
-                      + count(*) FILTER (length(merchant_id) > 32)
-                      + count(*) FILTER (length(txn_ts) > 64)
-                      + count(*) FILTER (length(reject_reason) > 64)
-           FROM rejects""",
+        " UNION ALL ".join(
+            [
+                audit(
+                    "gold_account_day",
+                    "stored",
+                    "account_id, account_day",
+                    "account_id account_day txns max_amount distinct_devices is_amount_spike is_device_burst",
+                    {"account_id": 32},
+                ),
+                audit(
+                    "gold_merchant_hour",
+                    "merchant_gold",
+                    "merchant_id, hour_of_day",
+                    "merchant_id hour_of_day txns failed_txns failure_rate",
+                    {"merchant_id": 32},
+                ),
+                audit(
+                    "silver_rejects",
+                    "rejects",
+                    "",
+                    "",
+                    {"txn_id": 32, "account_id": 32, "merchant_id": 32, "txn_ts": 64, "reject_reason": 64},
+                ),
+            ]
+        ),
+    ),
+    "order_line_key_audit": audit(
+        "lineitem",
+        "lineitem",
+        "l_orderkey, l_linenumber",
+        "l_orderkey l_linenumber l_partkey l_suppkey l_returnflag l_shipdate",
+        {"l_returnflag": 1},
     ),
-    "order_line_key_audit": """
-        SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) FILTER (n > 1) AS duplicate_keys
-        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
     "layer_metrics": over(
         "accounts raw classified gold merchant_gold",
         """SELECT (SELECT count(*) FROM accounts) AS bronze_accounts,

@@ -3,7 +3,7 @@
     python -m paylake build RAW_DIR [--report OUT_DIR] [--database DB]
     python -m paylake report OUT_DIR [--database DB] [--role ROLE]
 
-A report is one CSV folder per answer and check. The second form needs a catalog that
+A report is one CSV folder per answer and check, written over an older one. The second form needs a catalog that
 outlives the session; which one is used is left to the Spark configuration.
 """
 
@@ -15,19 +15,22 @@ from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
+from paylake.operators.accounts import BROADCAST_BYTES
 from paylake.operators.governance import ANALYST_ROLE, CLEAR_ROLE
 from paylake.plans import audit, medallion
 from paylake.rules import Rules
 from paylake.session import ENGINE_CONF
 from paylake.sources.files import write_csv
 
+THRESHOLDS = ("baseline_days", "min_prior_days", "spike_factor", "burst_devices")
+
 
 def write_report(
     spark: SparkSession, out_dir: str, rules: Rules, database: str | None, role: str
 ) -> None:
     views = audit.warehouse_views(spark, role, database)
     for name, df in {**audit.answers(views, rules), **audit.checks(spark, database)}.items():
-        write_csv(df, f"{out_dir}/{name}")
+        write_csv(df, f"{out_dir}/{name}", mode="overwrite")
 
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -37,6 +40,9 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     common.add_argument("--valid-from", default=Rules.valid_from)
     common.add_argument("--valid-to", default=Rules.valid_to)
     common.add_argument("--risk-merchants", nargs=2, metavar=("FROM", "TO"))
+    common.add_argument("--unknown-account", default=Rules.unknown_account)
+    for name in THRESHOLDS:
+        common.add_argument(f"--{name.replace('_', '-')}", type=int, default=getattr(Rules, name))
 
     parser = argparse.ArgumentParser(prog="paylake")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -46,6 +52,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     build.add_argument("--check-accounts", action="store_true")
     build.add_argument("--silver-by-day", action="store_true")
     build.add_argument("--silver-tables", action="store_true")
+    build.add_argument("--broadcast-bytes", type=int, default=BROADCAST_BYTES)
     report = commands.add_parser("report", parents=[common])
     report.add_argument("report", metavar="OUT_DIR")
     return parser.parse_args(argv)
@@ -57,7 +64,12 @@ def main(argv: list[str] | None = None) -> None:
     for key, value in ENGINE_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    rules = Rules(valid_from=args.valid_from, valid_to=args.valid_to)
+    rules = Rules(
+        valid_from=args.valid_from,
+        valid_to=args.valid_to,
+        unknown_account=args.unknown_account,
+        **{name: getattr(args, name) for name in THRESHOLDS},
+    )
     if args.risk_merchants:
         first, last = args.risk_merchants
         rules = replace(rules, risk_merchant_from=first, risk_merchant_to=last)
@@ -71,6 +83,7 @@ def main(argv: list[str] | None = None) -> None:
             check_accounts=args.check_accounts,
             silver_by_day=args.silver_by_day,
             silver_tables=args.silver_tables,
+            broadcast_bytes=args.broadcast_bytes,
         )
         print(json.dumps(counts.as_dict(), indent=2))
     if args.report:

@@ -40,6 +40,11 @@ def mask_tail(value: Column) -> Column:
     return F.concat(F.lit(MASK_PREFIX), F.right(value, F.lit(MASK_VISIBLE_CHARS)))
 
 
+def mask_tail_sql(value: str) -> str:
+    """The same mask as SQL text, for views."""
+    return f"concat('{MASK_PREFIX}', right({value}, {MASK_VISIBLE_CHARS}))"
+
+
 def hash_bucket(value: Column, buckets: int) -> Column:
     """Bucket number from MD5, equal in every engine that has MD5."""
     head = F.substring(F.md5(value.cast("binary")), 1, 8)

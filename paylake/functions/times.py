@@ -10,6 +10,11 @@ from pyspark.sql import Column, functions as F
 
 
 def try_instant(text: Column) -> Column:
+    """Wall-clock time of a text, NULL where it does not parse.
+
+    Trap: an offset in the text is dropped, not applied. ``2025-05-02 01:00:00+05:30`` is 01:00 on
+    May 2, as the local clock said, where a cast to an instant in UTC gives 19:30 on May 1.
+    """
     return text.try_cast("timestamp_ntz")
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from paylake.sources.lake import scratch_table
+
 # Largest list of account ids that is broadcast, and the size of one entry on top of its text.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ENTRY_BYTES = 64
-SALTS = 32
 
 
 def id_list_bytes(accounts: DataFrame) -> int:
@@ -18,35 +19,37 @@ def id_list_bytes(accounts: DataFrame) -> int:
     return size.first()["bytes"]
 
 
-def flag_known_accounts(
-    payments: DataFrame, accounts: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, salts: int = SALTS
+def flag_known(
+    rows: DataFrame, key: str, master: DataFrame, flag: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Add ``account_known``: does the master list this account?
+    """Add ``flag``: does the master list this row's ``key``? False without a key.
 
-    A master measured to be small is broadcast. A larger one is joined by shuffle on
-    the account and a salt: a payment takes its salt from its own content, and each
-    master id is repeated once per salt. One account with a third of all payments
-    is thus spread over ``salts`` tasks, and so are payments without an account.
+    A master measured to be small is broadcast. A larger one is joined by shuffle, each
+    master id once. A hot key is left to AQE, which splits the rows' side of a skewed left join by
+    map output and reads the one matching id with each part. Rows without a key need no
+    match: they get join keys of their own, spread by content, that no master holds.
     """
     known = (
-        accounts.select("account_id")
-        .filter(F.col("account_id").isNotNull())
+        master.select(F.col(key).cast("string").alias("_key"))
+        .filter("_key IS NOT NULL")
         .distinct()
-        .withColumn("account_known", F.lit(True))
+        .withColumn(flag, F.lit(True))
     )
-    if id_list_bytes(accounts) <= broadcast_bytes:
-        joined = payments.join(F.broadcast(known), "account_id", "left")
+    if id_list_bytes(master.select(F.col(key).cast("string").alias("account_id"))) <= broadcast_bytes:
+        known = F.broadcast(known)
     else:
-        salt = F.pmod(F.xxhash64(*payments.columns), F.lit(salts))
-        repeated = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = (
-            payments.withColumn("_salt", salt.cast("int"))
-            .join(repeated, ["account_id", "_salt"], "left")
-            .drop("_salt")
-        )
-    return joined.select(
-        *payments.columns, F.coalesce("account_known", F.lit(False)).alias("account_known")
-    )
+        # Written first: AQE splits a skewed join only when both sides come straight from a shuffle.
+        known = scratch_table(rows.sparkSession, known, "known-ids")
+    alone = F.concat(F.lit("\0"), F.xxhash64(*rows.columns).cast("string"))
+    joined = rows.withColumn("_key", F.coalesce(F.col(key).cast("string"), alone)).join(known, "_key", "left")
+    return joined.select(*rows.columns, F.coalesce(flag, F.lit(False)).alias(flag))
+
+
+def flag_known_accounts(
+    payments: DataFrame, accounts: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Add ``account_known``: does the master list this account?"""
+    return flag_known(payments, "account_id", accounts, "account_known", broadcast_bytes)
 
 
 def not_in_master() -> Column:

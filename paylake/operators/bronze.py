@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from paylake.functions.text import row_fingerprint
+from paylake.schemas import MALFORMED
 
 
 def with_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -14,10 +15,11 @@ def with_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def land(scan: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """File scan to bronze: raw columns, source file, ingest time, fingerprint."""
+    """File scan to bronze: raw columns, source file, ingest time, fingerprint, malformed text."""
     return scan.select(
         *columns,
         F.col("_metadata.file_path").alias("_source_file"),
         F.current_timestamp().alias("_ingested_at"),
         row_fingerprint(columns).alias("_row_hash"),
+        MALFORMED,
     )

@@ -13,23 +13,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from paylake.schemas import PAYMENT_COLUMNS
+from paylake.schemas import MALFORMED, PAYMENT_COLUMNS
 
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]
 ) -> DataFrame:
-    """Keep the first row of each key in ``order``; NULLs sort first."""
+    """Keep the first row of each key in ``order``; NULLs in named columns sort last."""
+    order = [F.asc_nulls_last(part) if isinstance(part, str) else part for part in order]
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+def payment_identity(payments: DataFrame) -> list[Column]:
+    """What makes two rows copies of one payment: the id.
+
+    Rows without an id, and lines that do not have the declared fields, cannot be matched by
+    id. They are copies only when all their raw columns agree, so none displaces a good row.
+    """
+    unmatched = F.col("txn_id").isNull()
+    raw = list(PAYMENT_COLUMNS)
+    if MALFORMED in payments.columns:
+        unmatched = unmatched | F.col(MALFORMED).isNotNull()
+        raw.append(MALFORMED)
+    return [F.col("txn_id"), F.when(unmatched, F.struct(*raw))]
+
+
 def distinct_payments(payments: DataFrame) -> DataFrame:
-    """One row per ``txn_id``: the earliest time text, other columns break ties.
+    """One row per identity: the earliest time text, other columns break ties.
 
-    A row without an id cannot be matched by id, so such rows count as copies only
-    when all their raw columns agree; the distinct ones stay and are rejected later.
+    Missing values sort last, so a copy that lacks its time or amount never
+    displaces one that has it.
     """
-    identity = F.when(F.col("txn_id").isNull(), F.struct(*PAYMENT_COLUMNS))
     others = [name for name in payments.columns if name not in ("txn_id", "txn_ts")]
-    return first_per_key(payments, ["txn_id", identity], ["txn_ts", *others])
+    return first_per_key(payments, payment_identity(payments), ["txn_ts", *others])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from paylake.functions.text import mask_tail
+from paylake.functions.text import mask_tail, mask_tail_sql
 from paylake.schemas import WAREHOUSE_TABLES, WarehouseTable
 
 # Role names. Only the first one sees clear account ids.
@@ -55,6 +55,17 @@ def audit_constraints(df: DataFrame, table: WarehouseTable) -> DataFrame:
     )
 
 
+def masked_select(table: WarehouseTable, source: str, columns: Sequence[str], role: str) -> str:
+    """SELECT of a published view: declared types, and ids masked unless the role sees them."""
+    fields = []
+    for field in table.fields:
+        value = f"CAST({field.name} AS {field.type})"
+        if field.name in columns and role != CLEAR_ROLE:
+            value = mask_tail_sql(value)
+        fields.append(f"{value} AS {field.name}")
+    return f"SELECT {', '.join(fields)} FROM {source}"
+
+
 def audit_warehouse(tables: dict[str, DataFrame]) -> DataFrame:
     """Constraint audits of all declared tables, one row each."""
     audits = [audit_constraints(tables[declared.name], declared) for declared in WAREHOUSE_TABLES]

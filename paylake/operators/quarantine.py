@@ -7,8 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from paylake.functions.numbers import try_money
 from paylake.functions.times import instant, try_instant
 from paylake.rules import Rules
+from paylake.schemas import MALFORMED
 
 # Reject reasons, in order of precedence.
+MALFORMED_LINE = "malformed_line"
 UNPARSEABLE_AMOUNT = "unparseable_amount"
 UNKNOWN_ACCOUNT = "unknown_account"
 TIMESTAMP_OUT_OF_RANGE = "timestamp_out_of_range"
@@ -43,12 +45,15 @@ def classify(parsed: DataFrame, rules: Rules, unknown: Column | None = None) ->
     """Add ``reject_reason``: the first failed test, NULL for a clean row.
 
     One CASE column replaces a filter per reason, so every row gets exactly one
-    outcome in one pass. ``unknown`` overrides the account test. A missing id is
+    outcome in one pass. ``unknown`` overrides the account test. A malformed line is told
+    first, because its values may stand in the wrong columns. A missing id is
     tested last, so it never changes the outcome of the other tests.
     """
     unknown = sentinel_account(rules) if unknown is None else unknown
+    malformed = F.col(MALFORMED).isNotNull() if MALFORMED in parsed.columns else F.lit(False)
     reason = (
-        F.when(F.col("amount_cast").isNull(), UNPARSEABLE_AMOUNT)
+        F.when(malformed, MALFORMED_LINE)
+        .when(F.col("amount_cast").isNull(), UNPARSEABLE_AMOUNT)
         .when(unknown, UNKNOWN_ACCOUNT)
         .when(~in_period(rules), TIMESTAMP_OUT_OF_RANGE)
         .when(F.col("txn_id").isNull(), MISSING_TXN_ID)
@@ -70,17 +75,14 @@ def clean(classified: DataFrame) -> DataFrame:
             "account_day": F.to_date("txn_ts_cast"),
         }
     )
-    return typed.drop("amount_cast", "txn_ts_cast", "reject_reason")
-
-
-def rejects_by_branch(parsed: DataFrame, rules: Rules) -> DataFrame:
-    """The reject table as a by-name union of one filtered branch per reason."""
-    reasoned = classify(parsed, rules)
-    branches = [
-        reasoned.filter(F.col("reject_reason") == reason).select(*REJECT_COLUMNS)
-        for reason in (UNPARSEABLE_AMOUNT, UNKNOWN_ACCOUNT, TIMESTAMP_OUT_OF_RANGE, MISSING_TXN_ID)
-    ]
-    union = branches[0]
-    for branch in branches[1:]:
-        union = union.unionByName(branch)
-    return union
+    return typed.drop("amount_cast", "txn_ts_cast", "reject_reason", MALFORMED)
+
+
+def outcomes_by_name(clean_rows: DataFrame, reject_rows: DataFrame) -> DataFrame:
+    """Clean and rejected rows in one table, united by name.
+
+    The two differ: rejects hold the raw time text and a reason, clean rows the typed time, the
+    amount and the day. Columns that one side lacks are NULL there.
+    """
+    rejected = reject_rows.withColumnRenamed("txn_ts", "raw_txn_ts")
+    return clean_rows.unionByName(rejected, allowMissingColumns=True)

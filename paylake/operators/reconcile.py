@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from paylake.operators.dedup import payment_identity
 from paylake.operators.quarantine import (
+    MALFORMED_LINE,
     MISSING_TXN_ID,
     TIMESTAMP_OUT_OF_RANGE,
     UNKNOWN_ACCOUNT,
@@ -12,18 +14,17 @@ from paylake.operators.quarantine import (
 )
 
 
-def outcome_counts() -> dict[str, Column]:
-    """Aggregates over classified rows: survivors, clean rows, rejects by reason."""
+def reason_counts() -> dict[str, Column]:
+    """Rejects by reason, as aggregates over rows with a ``reject_reason``."""
     reason = F.col("reject_reason")
-    return {
-        "deduped_rows": F.count(F.lit(1)),
-        "clean_rows": F.count_if(reason.isNull()),
-        "reject_rows": F.count_if(reason.isNotNull()),
-        "unparseable_amount_rows": F.count_if(reason == UNPARSEABLE_AMOUNT),
-        "unknown_account_rows": F.count_if(reason == UNKNOWN_ACCOUNT),
-        "out_of_range_rows": F.count_if(reason == TIMESTAMP_OUT_OF_RANGE),
-        "missing_id_rows": F.count_if(reason == MISSING_TXN_ID),
+    names = {
+        "malformed_line_rows": MALFORMED_LINE,
+        "unparseable_amount_rows": UNPARSEABLE_AMOUNT,
+        "unknown_account_rows": UNKNOWN_ACCOUNT,
+        "out_of_range_rows": TIMESTAMP_OUT_OF_RANGE,
+        "missing_id_rows": MISSING_TXN_ID,
     }
+    return {name: F.count_if(reason == value) for name, value in names.items()}
 
 
 def side_by_side(*one_row_frames: DataFrame) -> DataFrame:
@@ -37,28 +38,37 @@ def side_by_side(*one_row_frames: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
 
 
-def reconciliation(raw: DataFrame, classified: DataFrame) -> DataFrame:
-    """raw - duplicates - rejects = clean, with the verdict in ``balanced``."""
-    counts = side_by_side(
-        raw.agg(F.count(F.lit(1)).alias("bronze_rows")),
-        classified.agg(*[expr.alias(name) for name, expr in outcome_counts().items()]),
-    )
-    return counts.select(
-        "*", (F.col("bronze_rows") - F.col("deduped_rows")).alias("duplicate_rows")
-    ).withColumn(
-        "balanced",
-        F.col("bronze_rows") - F.col("duplicate_rows") - F.col("reject_rows") == F.col("clean_rows"),
+def duplicate_counts(raw: DataFrame) -> DataFrame:
+    """Rows, distinct payments and surplus copies, counted from the raw rows alone.
+
+    Copies are those deduplication merges: see ``payment_identity``. Rows are counted per
+    identity before the shuffle, so a payment copied very often sends one row per task.
+    """
+    keys = [key.alias(f"_key{i}") for i, key in enumerate(payment_identity(raw))]
+    per_key = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("bronze_rows"),
+        F.count(F.lit(1)).alias("distinct_payments"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
     )
 
 
-def key_duplicates(raw: DataFrame, key: str) -> DataFrame:
-    """Duplicates as all rows minus distinct keys; NULL keys count as one key."""
-    per_key = raw.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.sum("n").alias("bronze_rows"),
-        F.count(F.lit(1)).alias("distinct_keys"),
-        F.sum(F.col("n") - 1).alias("duplicate_rows"),
+def reconciliation(raw: DataFrame, silver: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Every layer counted from its own rows, with the verdict in ``balanced``.
+
+    ``balanced`` holds when raw rows less surplus copies less rejects are the clean rows. The
+    four counts come from three tables, so a lost or invented row shows.
+    """
+    counts = side_by_side(
+        duplicate_counts(raw),
+        silver.agg(F.count(F.lit(1)).alias("clean_rows")),
+        rejected.agg(
+            F.count(F.lit(1)).alias("reject_rows"),
+            *[expr.alias(name) for name, expr in reason_counts().items()],
+        ),
     )
+    rest = F.col("bronze_rows") - F.col("duplicate_rows") - F.col("reject_rows")
+    return counts.withColumn("balanced", rest == F.col("clean_rows"))
 
 
 def layer_metrics(
@@ -68,7 +78,11 @@ def layer_metrics(
     account_days: DataFrame,
     merchant_hours: DataFrame,
 ) -> DataFrame:
-    """All published layer counts in one row; flags are counted in the same pass."""
+    """All published layer counts in one row; flags are counted in the same pass.
+
+    Give written tables: each frame is read once, and a lazy ``classified`` would be
+    deduplicated again for every frame derived from it.
+    """
     return side_by_side(
         accounts.agg(F.count(F.lit(1)).alias("bronze_accounts")),
         raw.agg(F.count(F.lit(1)).alias("bronze_txns")),

@@ -6,29 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylake.operators import governance, reconcile
 from paylake.plans import questions
+from paylake.plans.medallion import view_name
 from paylake.rules import Rules
-from paylake.schemas import (
-    WAREHOUSE_ACCOUNT_DAY,
-    WAREHOUSE_MERCHANT_HOUR,
-    WAREHOUSE_REJECTS,
-    WAREHOUSE_TABLES,
-)
+from paylake.schemas import WAREHOUSE_TABLES
 
 
 def warehouse_views(
     spark: SparkSession, role: str, database: str | None = None
 ) -> dict[str, DataFrame]:
-    """The three published tables with declared types, as ``role`` may see them."""
+    """The published views of the three warehouse tables for ``role``."""
 
-    def loaded(declared):
-        name = f"{database}.{declared.name}" if database else declared.name
-        return governance.conform(spark.table(name), declared)
+    def published(table: str) -> DataFrame:
+        name = view_name(table, role)
+        return spark.table(f"{database}.{name}" if database else name)
 
-    return {
-        "gold_account_day": governance.masked_view(loaded(WAREHOUSE_ACCOUNT_DAY), ["account_id"], role),
-        "gold_merchant_hour": loaded(WAREHOUSE_MERCHANT_HOUR),
-        "silver_rejects": governance.masked_view(loaded(WAREHOUSE_REJECTS), ["account_id"], role),
-    }
+    return {declared.name: published(declared.name) for declared in WAREHOUSE_TABLES}
 
 
 def answers(views: dict[str, DataFrame], rules: Rules) -> dict[str, DataFrame]:
@@ -50,7 +42,7 @@ def checks(spark: SparkSession, database: str | None = None) -> dict[str, DataFr
 
     raw, classified = read("bronze_txns"), read("silver_classified")
     return {
-        "reconciliation": reconcile.reconciliation(raw, classified),
+        "reconciliation": reconcile.reconciliation(raw, read("silver_txns"), read("silver_rejects")),
         "layer_metrics": reconcile.layer_metrics(
             read("bronze_accounts"),
             raw,

@@ -1,12 +1,13 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
-Everything is derived from the given tables. Queries have no side effects except
-the CSV ones, which write a fresh folder below the shared scratch folder. Decimals
+Everything is derived from the given tables. Queries have no side effects except that some
+write a fresh folder or database below the shared scratch folder. Decimals
 leave as doubles, because other engines report them with other scales.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -20,11 +21,13 @@ from paylake.operators import account_day as days
 from paylake.operators import bronze, governance, quarantine, reconcile
 from paylake.operators.dedup import distinct_payments, first_per_key
 from paylake.operators.merchant_hour import merchant_hour
-from paylake.plans import questions
+from paylake.plans import medallion, questions
 from paylake.rules import EVENT_RULES as RULES
 from paylake.schemas import (
     ACCOUNT_COLUMNS,
+    MALFORMED,
     MONEY,
+    ORDER_LINES,
     PAYMENT_COLUMNS,
     RAW_PAYMENTS,
     WAREHOUSE_ACCOUNT_DAY,
@@ -34,6 +37,7 @@ from paylake.schemas import (
 from paylake.session import scratch_path
 from paylake.sources import payments
 from paylake.sources.files import read_csv, read_csv_inferred, table, write_csv
+from paylake.sources.lake import scratch_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,6 +75,11 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.classify(_parsed(spark, sf_dir), RULES)
 
 
+def _stored_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classified rows as a written table, for queries that read them more than once."""
+    return scratch_table(spark, _classified(spark, sf_dir), "classified")
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.clean(_classified(spark, sf_dir))
 
@@ -90,13 +99,6 @@ def _merchant_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks
 
 
-@query
-def range_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Account master for the half-open id range up to the largest customer key."""
-    largest = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
-    return payments.account_master(spark.range(0, largest + 1), "id")
-
-
 @query
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir)
@@ -112,7 +114,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments written as CSV and scanned again with the declared schema."""
     path = scratch_path(spark, "payments-csv")
     write_csv(_raw(spark, sf_dir), path)
-    return read_csv(spark, path, RAW_PAYMENTS)
+    return read_csv(spark, path, RAW_PAYMENTS).filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
 @query
@@ -147,9 +149,45 @@ def bronze_ingest_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("_source_file").contains(path)).alias("rows_with_source_file"),
         F.count_distinct("_ingested_at").alias("ingest_times"),
         F.count_if(F.length("_row_hash") == 64).alias("rows_with_fingerprint"),
+        F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed_lines"),
     )
 
 
+def _build(spark: SparkSession, sf_dir: str, inputs: list[DataFrame]) -> str:
+    """Run the whole job over CSV files of each input in turn, into one fresh database."""
+    database = f"paylake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'lake')}'")
+    for events in inputs:
+        raw_dir = scratch_path(spark, "raw")
+        write_csv(payments.raw_payments(events), f"{raw_dir}/txns.csv")
+        write_csv(_accounts(spark, sf_dir), f"{raw_dir}/accounts.csv")
+        medallion.run(spark, raw_dir, RULES, database)
+    return database
+
+
+@query
+def lake_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account days read back from the catalog after a full build."""
+    database = _build(spark, sf_dir, [table(spark, sf_dir, "events")])
+    return spark.table(f"{database}.gold_account_day")
+
+
+@query
+def lake_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchant hours after a build over half of the events and a second one over all."""
+    events = table(spark, sf_dir, "events")
+    database = _build(spark, sf_dir, [events.filter("event_id % 2 = 0"), events])
+    return spark.table(f"{database}.gold_merchant_hour")
+
+
+@query
+def lake_masked_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects as the analysts' published view shows them after a build."""
+    database = _build(spark, sf_dir, [table(spark, sf_dir, "events")])
+    name = medallion.view_name("silver_rejects", governance.ANALYST_ROLE)
+    return spark.table(f"{database}.{name}").drop("_rejected_at")
+
+
 # Silver
 
 
@@ -180,7 +218,9 @@ def rejects_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quarantine.rejects_by_branch(_parsed(spark, sf_dir), RULES)
+    """All outcomes in one table; clean and rejected rows have different columns."""
+    classified = _stored_classified(spark, sf_dir)
+    return quarantine.outcomes_by_name(quarantine.clean(classified), quarantine.rejects(classified))
 
 
 @query
@@ -195,20 +235,34 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def referential_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reject cascade with the account looked up in the account master."""
-    flagged = referential.flag_known_accounts(_parsed(spark, sf_dir), _accounts(spark, sf_dir))
+    """The reject cascade with the account looked up in an account master with holes."""
+    modulus, remainder = payments.MASTER_HOLES
+    listed = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % modulus != remainder)
+    master = payments.account_master(listed, "c_custkey")
+    flagged = referential.flag_known_accounts(_parsed(spark, sf_dir), master)
     classified = quarantine.classify(flagged, RULES, unknown=referential.not_in_master())
     return quarantine.rejects(classified)
 
 
+@query
+def unlabelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose id the labels do not list."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    labels = table(spark, sf_dir, "labels").select("doc_id")
+    return referential.flag_known(documents, "doc_id", labels, "labelled").filter("NOT labelled")
+
+
 @query
 def silver_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.reconciliation(_raw(spark, sf_dir), _classified(spark, sf_dir))
+    classified = _stored_classified(spark, sf_dir)
+    return reconcile.reconciliation(
+        _raw(spark, sf_dir), quarantine.clean(classified), quarantine.rejects(classified)
+    )
 
 
 @query
 def duplicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.key_duplicates(_raw(spark, sf_dir), "txn_id")
+    return reconcile.duplicate_counts(_raw(spark, sf_dir))
 
 
 # Gold
@@ -333,13 +387,13 @@ def warehouse_conform_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared rules checked on the three warehouse tables as loaded."""
-    rejected = _rejects(spark, sf_dir).withColumn("_rejected_at", F.current_timestamp())
+    classified = _stored_classified(spark, sf_dir)
+    silver = quarantine.clean(classified)
+    rejected = quarantine.rejects(classified).withColumn("_rejected_at", F.current_timestamp())
     return governance.audit_warehouse(
         {
-            "gold_account_day": governance.conform(_account_day(spark, sf_dir), WAREHOUSE_ACCOUNT_DAY),
-            "gold_merchant_hour": governance.conform(
-                _merchant_hour(spark, sf_dir), WAREHOUSE_MERCHANT_HOUR
-            ),
+            "gold_account_day": governance.conform(days.account_day(silver, RULES), WAREHOUSE_ACCOUNT_DAY),
+            "gold_merchant_hour": governance.conform(merchant_hour(silver), WAREHOUSE_MERCHANT_HOUR),
             "silver_rejects": governance.conform(rejected, WAREHOUSE_REJECTS),
         }
     )
@@ -347,22 +401,21 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def order_line_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often (order, line) repeats in the order lines, which do break that key."""
-    lines = table(spark, sf_dir, "lineitem")
-    per_key = lines.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("duplicate_keys")
-    )
+    """Declared rules checked on the order lines, which do break their key."""
+    return governance.audit_constraints(table(spark, sf_dir, "lineitem"), ORDER_LINES)
 
 
 @query
 def layer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classified rows are written once; every count reads them from there."""
+    classified = _stored_classified(spark, sf_dir)
+    silver = quarantine.clean(classified)
     return reconcile.layer_metrics(
         _accounts(spark, sf_dir),
         _raw(spark, sf_dir),
-        _classified(spark, sf_dir),
-        _account_day(spark, sf_dir),
-        _merchant_hour(spark, sf_dir),
+        classified,
+        days.account_day(silver, RULES),
+        merchant_hour(silver),
     )
 
 

@@ -1,7 +1,8 @@
 """The batch job: two CSV inputs to bronze, silver and gold tables.
 
 Each layer is written once and the next one reads the written table, so no stage
-is run again from the raw files and every count comes from the write itself.
+is run again from the raw files. Counts are observed during the writes, but for the
+conservation check, which counts bronze, silver and rejects each from its written table.
 Clean and rejected rows come from one deduplication and one write: they are the two
 partitions of ``silver_classified``, published as the views ``silver_txns`` and
 ``silver_rejects``, or copied into tables of these names on request.
@@ -14,17 +15,19 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake.operators import account_day as days
-from paylake.operators import bronze, quarantine, reconcile
-from paylake.operators.accounts import flag_known_accounts, not_in_master
+from paylake.operators import bronze, governance, quarantine, reconcile
+from paylake.operators.accounts import BROADCAST_BYTES, flag_known_accounts, not_in_master
 from paylake.operators.dedup import distinct_payments
 from paylake.operators.merchant_hour import merchant_hour
 from paylake.rules import Rules
 from paylake.schemas import (
     ACCOUNT_COLUMNS,
     LINEAGE_COLUMNS,
+    MALFORMED,
     PAYMENT_COLUMNS,
     RAW_ACCOUNTS,
     RAW_PAYMENTS,
+    WAREHOUSE_TABLES,
 )
 from paylake.sources.files import read_csv
 from paylake.sources.lake import check_replaceable, save_table, save_view
@@ -38,6 +41,7 @@ class LayerReport:
     bronze_accounts: int
     bronze_txns: int
     duplicates: int
+    malformed_line: int
     unparseable_amount: int
     unknown_account: int
     timestamp_out_of_range: int
@@ -72,6 +76,7 @@ def silver_storage(classified: DataFrame) -> DataFrame:
         F.when(~bad, F.to_date("txn_ts_cast")).alias("account_day"),
         *LINEAGE_COLUMNS,
         F.when(bad, F.col("txn_ts")).alias("raw_txn_ts"),
+        MALFORMED,
         "reject_reason",
         F.when(bad, F.current_timestamp()).alias("_rejected_at"),
         F.when(bad, REJECTED).otherwise(CLEAN).alias("disposition"),
@@ -86,6 +91,7 @@ def run(
     check_accounts: bool = False,
     silver_by_day: bool = False,
     silver_tables: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> LayerReport:
     """Build all tables from ``raw_dir/accounts.csv`` and ``raw_dir/txns.csv``.
 
@@ -94,7 +100,8 @@ def run(
     readers of single days; the rebalance lets Spark split a large day over tasks and
     keeps small days from becoming small files, at the price of one more shuffle.
     ``silver_tables`` writes silver and rejects as managed tables of their own, for
-    readers that need the files; that scans and writes silver once more.
+    readers that need the files; that scans and writes silver once more. An account list up to
+    ``broadcast_bytes`` is broadcast. Masked views are published for every role.
 
     Raises ``ValueError`` when rows are lost or invented on the way to silver, or when
     a silver name is taken by the other kind of object.
@@ -109,7 +116,7 @@ def run(
     accounts = bronze.land(read_csv(spark, f"{raw_dir}/accounts.csv", RAW_ACCOUNTS), ACCOUNT_COLUMNS)
     account_counts = save_table(accounts, named("bronze_accounts"))
     payments = bronze.land(read_csv(spark, f"{raw_dir}/txns.csv", RAW_PAYMENTS), PAYMENT_COLUMNS)
-    payment_counts = save_table(payments, named("bronze_txns"))
+    save_table(payments, named("bronze_txns"))
 
     # The fingerprint is most of a row's bytes and follows from the other columns, so
     # it stays out of the deduplication shuffle and is computed again behind it.
@@ -117,19 +124,15 @@ def run(
     parsed = quarantine.parse(bronze.with_fingerprint(unique, PAYMENT_COLUMNS))
     unknown = None
     if check_accounts:
-        parsed = flag_known_accounts(parsed, spark.table(named("bronze_accounts")))
+        master = spark.table(named("bronze_accounts"))
+        parsed = flag_known_accounts(parsed, master, broadcast_bytes)
         unknown = not_in_master()
     storage = silver_storage(quarantine.classify(parsed, rules, unknown))
     layout = ["disposition"]
     if silver_by_day:
         layout = ["disposition", "account_day"]
         storage = storage.hint("rebalance", *layout)
-    outcome = save_table(
-        storage,
-        named("silver_classified"),
-        metrics=reconcile.outcome_counts(),
-        partition_by=layout,
-    )
+    save_table(storage, named("silver_classified"), partition_by=layout)
     silver_columns = ", ".join([*PAYMENT_COLUMNS, *LINEAGE_COLUMNS, "account_day"])
     parts = {
         "silver_txns": f"SELECT {silver_columns} FROM {named('silver_classified')} "
@@ -155,21 +158,48 @@ def run(
     )
     hour_counts = save_table(merchant_hour(silver), named("gold_merchant_hour"))
 
-    report = LayerReport(
+    publish_views(spark, named)
+    counts = verify(spark, database)
+    return LayerReport(
         bronze_accounts=account_counts["rows"],
-        bronze_txns=payment_counts["rows"],
-        duplicates=payment_counts["rows"] - outcome["rows"],
-        unparseable_amount=outcome["unparseable_amount_rows"],
-        unknown_account=outcome["unknown_account_rows"],
-        timestamp_out_of_range=outcome["out_of_range_rows"],
-        missing_txn_id=outcome["missing_id_rows"],
-        silver_rejects=outcome["reject_rows"],
-        silver_txns=outcome["clean_rows"],
+        bronze_txns=counts["bronze_rows"],
+        duplicates=counts["duplicate_rows"],
+        malformed_line=counts["malformed_line_rows"],
+        unparseable_amount=counts["unparseable_amount_rows"],
+        unknown_account=counts["unknown_account_rows"],
+        timestamp_out_of_range=counts["out_of_range_rows"],
+        missing_txn_id=counts["missing_id_rows"],
+        silver_rejects=counts["reject_rows"],
+        silver_txns=counts["clean_rows"],
         account_days=day_counts["rows"],
         device_bursts=day_counts["device_bursts"],
         amount_spikes=day_counts["amount_spikes"],
         merchant_hours=hour_counts["rows"],
     )
-    if not report.balanced:
-        raise ValueError(f"rows do not reconcile: {report}")
-    return report
+
+
+def view_name(table: str, role: str) -> str:
+    """The published view of a table for a role; roles without one read the masked view."""
+    known = role if role == governance.CLEAR_ROLE else governance.ANALYST_ROLE
+    return f"{table}_{known.lower()}"
+
+
+def publish_views(spark: SparkSession, named) -> None:
+    """One catalog view per warehouse table and role, with declared types and masked ids."""
+    for declared in WAREHOUSE_TABLES:
+        for role in (governance.CLEAR_ROLE, governance.ANALYST_ROLE):
+            query = governance.masked_select(declared, named(declared.name), ["account_id"], role)
+            save_view(spark, named(view_name(declared.name, role)), query)
+
+
+def verify(spark: SparkSession, database: str | None = None) -> dict:
+    """Count the written tables and raise ``ValueError`` unless no row was lost or invented."""
+
+    def read(table: str) -> DataFrame:
+        return spark.table(f"{database}.{table}" if database else table)
+
+    checked = reconcile.reconciliation(read("bronze_txns"), read("silver_txns"), read("silver_rejects"))
+    counts = checked.first().asDict()
+    if not counts["balanced"]:
+        raise ValueError(f"rows do not reconcile: {counts}")
+    return counts

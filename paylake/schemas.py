@@ -19,6 +19,8 @@ PAYMENT_COLUMNS = [
     "amount",
 ]
 LINEAGE_COLUMNS = ["_source_file", "_ingested_at", "_row_hash"]
+# The whole text of a line that does not have exactly the declared fields, else NULL.
+MALFORMED = "_malformed_line"
 
 MONEY = "decimal(18,2)"
 
@@ -39,6 +41,8 @@ SOURCE_TABLES = {
     "c_mktsegment string",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp_ntz, o_orderpriority string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
     "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
@@ -68,11 +72,11 @@ WAREHOUSE_ACCOUNT_DAY = WarehouseTable(
     fields=(
         Field("account_id", "string", max_chars=32),
         Field("account_day", "date"),
-        Field("txns", "int"),
+        Field("txns", "bigint"),
         Field("max_amount", MONEY),
         Field("avg_amount_30d_trailing", MONEY, required=False),
-        Field("prior_txn_count", "int", required=False),
-        Field("distinct_devices", "int"),
+        Field("prior_txn_count", "bigint", required=False),
+        Field("distinct_devices", "bigint"),
         Field("is_amount_spike", "boolean"),
         Field("is_device_burst", "boolean"),
     ),
@@ -83,8 +87,8 @@ WAREHOUSE_MERCHANT_HOUR = WarehouseTable(
     fields=(
         Field("merchant_id", "string", max_chars=32),
         Field("hour_of_day", "int"),
-        Field("txns", "int"),
-        Field("failed_txns", "int"),
+        Field("txns", "bigint"),
+        Field("failed_txns", "bigint"),
         Field("failure_rate", "decimal(8,4)"),
     ),
     key=("merchant_id", "hour_of_day"),
@@ -100,4 +104,17 @@ WAREHOUSE_REJECTS = WarehouseTable(
         Field("_rejected_at", "timestamp_ntz", required=False),
     ),
 )
+# The order lines as a declared table: its key is not unique in the test data.
+ORDER_LINES = WarehouseTable(
+    name="lineitem",
+    fields=(
+        Field("l_orderkey", "bigint"),
+        Field("l_linenumber", "int"),
+        Field("l_partkey", "bigint"),
+        Field("l_suppkey", "bigint"),
+        Field("l_returnflag", "string", max_chars=1),
+        Field("l_shipdate", "timestamp_ntz"),
+    ),
+    key=("l_orderkey", "l_linenumber"),
+)
 WAREHOUSE_TABLES = (WAREHOUSE_ACCOUNT_DAY, WAREHOUSE_MERCHANT_HOUR, WAREHOUSE_REJECTS)

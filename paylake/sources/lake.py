@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Observation, functions as F
 
+from paylake.session import scratch_path
+
 
 def save_table(
     df: DataFrame, name: str, metrics: dict | None = None, partition_by: Sequence[str] = ()
@@ -15,7 +17,8 @@ def save_table(
 
     The metrics are observed while the rows are written, so counting costs no
     second job. They sit right above the sink, in the result stage, where Spark
-    counts each finished task once even if an executor is lost.
+    counts each finished task once even if an executor is lost. Spark drops the old table
+    first, so readers of the name fail until the new one is written.
     """
     observed = Observation()
     exprs = [F.count(F.lit(1)).alias("rows")]
@@ -27,6 +30,13 @@ def save_table(
     return dict(observed.get)
 
 
+def scratch_table(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` below the shared scratch folder and read it back, for several readers."""
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def check_replaceable(spark: SparkSession, name: str, as_view: bool) -> None:
     """Fail early when ``name`` exists as the other kind; nothing is dropped here."""
     if spark.catalog.tableExists(name):

@@ -19,6 +19,8 @@ UNKNOWN_ACCOUNT_RULE = (83, 7)
 EPOCH_TIME_RULE = (127, 5)
 BAD_TIME_RULE = (149, 11)
 BAD_AMOUNT_RULE = (41, 3)
+# Fixed values: (modulus, remainder) of the customers that the account master lacks.
+MASTER_HOLES = (13, 4)
 # Planted texts and value ranges.
 EPOCH_TIME = "1970-01-01 00:00:00"
 BAD_TIME = "not-a-time"

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 
 from paylake.functions.numbers import percent, ratio, rounded_int
 from paylake.functions.text import hash_bucket, mask_tail, padded_id, row_fingerprint
-from paylake.operators import bronze
+from paylake.functions.times import try_instant
+from paylake.operators import bronze, quarantine, reconcile
+from paylake.operators.dedup import distinct_payments
 from paylake.plans.catalog import QUERIES
+from paylake.rules import Rules
 from paylake.schemas import (
     ACCOUNT_COLUMNS,
+    MALFORMED,
     PAYMENT_COLUMNS,
     RAW_ACCOUNTS,
     RAW_PAYMENTS,
@@ -49,10 +53,47 @@ def test_land_adds_lineage(spark, tmp_path):
 
 
 def test_csv_keeps_quotes_delimiters_and_nulls(spark, tmp_path, payments):
-    df = payments({"status": 'say "hi", twice'}, {"amount": None}, {"device_id": "a\\b"})
+    df = payments(
+        {"status": 'say "hi", twice'}, {"amount": None}, {"device_id": "a\\b"}, {"status": "  both ", "amount": " 5 "}
+    )
     write_csv(df, str(tmp_path / "out"))
     back = read_csv(spark, str(tmp_path / "out"), RAW_PAYMENTS)
-    assert sorted(back.collect()) == sorted(df.collect(), key=lambda r: r["txn_id"])
+    rows = sorted(back.collect(), key=lambda r: r["txn_id"])
+    assert [(*r, None) for r in df.orderBy("txn_id").collect()] == [tuple(r) for r in rows]
+
+
+def test_csv_is_written_over_only_on_request(spark, tmp_path, payments):
+    path = str(tmp_path / "out")
+    write_csv(payments({}, {}), path)
+    with pytest.raises(Exception, match="(?i)exists"):
+        write_csv(payments({}), path)
+    write_csv(payments({}), path, mode="overwrite")
+    assert read_csv(spark, path, RAW_PAYMENTS).count() == 1
+
+
+def test_malformed_lines_keep_their_whole_text_and_are_rejected_as_such(spark, tmp_path):
+    good = "T1,ACC00000001,MER0000,MC00,2025-05-02 10:00:00,DEV1,SUCCESS,5.00"
+    bad = [
+        good + ",ninth field",
+        "T1,ACC00000001",
+        "T2,ACC00000001,MER0000,MC00,2025-05-02 10:00:00,DEV1,FAILED, timeout,5.00",
+    ]
+    path = tmp_path / "txns.csv"
+    path.write_text("\n".join([",".join(PAYMENT_COLUMNS), good, *bad, good]) + "\n")
+    landed = bronze.land(read_csv(spark, str(path), RAW_PAYMENTS), PAYMENT_COLUMNS)
+    assert landed.count() == 5
+    assert {r[MALFORMED] for r in landed.collect()} == {None, *bad}
+    classified = quarantine.classify(quarantine.parse(distinct_payments(landed)), Rules())
+    assert sorted((r[MALFORMED] or "", r["reject_reason"]) for r in classified.collect()) == sorted(
+        [("", None), *[(line, "malformed_line") for line in bad]], key=str
+    )
+    assert [r["txn_id"] for r in quarantine.clean(classified).collect()] == ["T1"]
+    assert reconcile.duplicate_counts(landed).first()["duplicate_rows"] == 1
+
+
+def test_offsets_in_times_are_dropped_not_applied(spark):
+    found = one(spark, try_instant(F.col("v")).cast("string"), "2025-05-02 01:00:00+05:30")
+    assert found == "2025-05-02 01:00:00"
 
 
 def test_csv_with_reordered_header_fails(spark, tmp_path):

@@ -29,8 +29,8 @@ PAYMENT = st.tuples(
 )
 
 
-def nulls_first(row):
-    return [(value is not None, value or "") for value in row]
+def nulls_last(row):
+    return [(value is None, value or "") for value in row]
 
 
 def survivors(rows):
@@ -38,7 +38,7 @@ def survivors(rows):
     for row in rows:
         groups[row if row[0] is None else row[0]].append(row)
     at = PAYMENT_COLUMNS.index("txn_ts")
-    return [min(group, key=lambda r: (nulls_first([r[at]]), nulls_first(r))) for group in groups.values()]
+    return [min(group, key=lambda r: (nulls_last([r[at]]), nulls_last(r))) for group in groups.values()]
 
 
 def outcome(row):

@@ -43,6 +43,21 @@ def test_conform_matches_columns_by_name(spark):
     )
 
 
+def test_counts_beyond_32_bits_are_loaded(spark):
+    row = conform(gold(spark, (*ROW[:2], 3_000_000_000, *ROW[3:])), WAREHOUSE_ACCOUNT_DAY).first()
+    assert row["txns"] == 3_000_000_000
+    hour = spark.createDataFrame(
+        [("MER0001", 3, 3_000_000_000, 2_999_999_999, 0.5)],
+        "merchant_id string, hour_of_day int, txns long, failed_txns long, failure_rate double",
+    )
+    assert conform(hour, WAREHOUSE_MERCHANT_HOUR).first()["failed_txns"] == 2_999_999_999
+
+
+def test_audit_counts_a_key_once_however_often_it_repeats(spark):
+    row = audit_constraints(gold(spark, ROW, ROW, ROW), WAREHOUSE_ACCOUNT_DAY).first()
+    assert (row["rows"], row["duplicate_keys"]) == (3, 1)
+
+
 def test_audit_counts_each_broken_rule(spark):
     other = (None, date(2025, 5, 2), 1, None, 1, None, 0, False, False)
     long = ("A" * 33, date(2025, 5, 2), 1, Decimal("1.00"), 1, None, 0, False, False)

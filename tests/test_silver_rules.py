@@ -90,14 +90,17 @@ def test_clean_and_rejects_split_every_row(payments):
     assert quarantine.rejects(classified).count() == 4
 
 
-def test_reject_branches_equal_the_single_pass(payments):
-    df = quarantine.parse(
-        payments({}, {"amount": "x"}, {"txn_ts": "x"}, {"account_id": None}, {"txn_id": None}, {"amount": None})
-    )
-    single = quarantine.rejects(quarantine.classify(df, RULES))
-    assert sorted(quarantine.rejects_by_branch(df, RULES).collect(), key=str) == sorted(
-        single.collect(), key=str
+def test_outcomes_of_different_columns_unite_by_name(payments):
+    df = quarantine.parse(payments({}, {"amount": "x"}, {"txn_ts": "x"}, {"account_id": None}))
+    classified = quarantine.classify(df, RULES)
+    clean, rejects = quarantine.clean(classified), quarantine.rejects(classified)
+    outcomes = quarantine.outcomes_by_name(clean, rejects)
+    assert outcomes.columns == [*clean.columns, "raw_txn_ts", "reject_reason"]
+    bad = outcomes.filter("reject_reason IS NOT NULL")
+    assert sorted((r["raw_txn_ts"], r["txn_ts"], r["amount"]) for r in bad.collect()) == sorted(
+        (r["txn_ts"], None, None) for r in rejects.collect()
     )
+    assert outcomes.filter("reject_reason IS NULL").select(*clean.columns).collect() == clean.collect()
 
 
 def test_exact_copies_collapse(payments):
@@ -128,9 +131,20 @@ def test_missing_id_does_not_hide_the_other_reasons(payments):
     assert reasons(payments({"txn_id": None, "amount": "NA"}))[None] == "unparseable_amount"
 
 
-def test_first_per_key_orders_nulls_first(spark):
-    df = spark.createDataFrame([(1, 5), (1, None), (2, 7)], "k int, v int")
-    assert sorted(tuple(r) for r in first_per_key(df, ["k"], ["v"]).collect()) == [(1, None), (2, 7)]
+def test_first_per_key_orders_nulls_last(spark):
+    df = spark.createDataFrame([(1, 5), (1, None), (2, 7), (3, None)], "k int, v int")
+    assert sorted(tuple(r) for r in first_per_key(df, ["k"], ["v"]).collect()) == [(1, 5), (2, 7), (3, None)]
+
+
+@pytest.mark.parametrize("missing", ["txn_ts", "amount", "account_id"])
+def test_a_copy_with_a_missing_value_never_displaces_the_good_one(payments, missing):
+    good, lacking = {"txn_id": "T1", "amount": "5.00"}, {"txn_id": "T1", "amount": "5.00", missing: None}
+    for order in ((good, lacking), (lacking, good), (lacking, good, lacking)):
+        for tasks in (1, 3):
+            unique = distinct_payments(payments(*order).repartition(tasks))
+            classified = quarantine.classify(quarantine.parse(unique), RULES)
+            assert [r["txn_id"] for r in quarantine.clean(classified).collect()] == ["T1"]
+            assert quarantine.rejects(classified).isEmpty()
 
 
 @pytest.mark.parametrize("broadcast_bytes", [10**9, 0])
@@ -139,7 +153,7 @@ def test_referential_check_on_both_join_paths(spark, payments, broadcast_bytes):
     df = payments(
         *[{"account_id": "ACC1"}] * 20, {"account_id": "ACC2"}, {"account_id": "ACC3"}, {"account_id": None}
     )
-    flagged = flag_known_accounts(df, accounts, broadcast_bytes=broadcast_bytes, salts=4)
+    flagged = flag_known_accounts(df, accounts, broadcast_bytes=broadcast_bytes)
     assert flagged.columns == [*df.columns, "account_known"]
     assert flagged.count() == 23
     classified = quarantine.classify(quarantine.parse(flagged), RULES, unknown=not_in_master())

@@ -1,5 +1,7 @@
 """Hot keys give right results, and the plans keep their shape."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from paylake.operators import quarantine
 from paylake.operators.accounts import flag_known_accounts
 from paylake.operators.dedup import distinct_payments
 from paylake.operators.merchant_hour import merchant_hour
+from paylake.plans import catalog
 from paylake.plans.catalog import QUERIES
 from paylake.rules import Rules
 
@@ -64,21 +67,48 @@ def test_hot_merchant_is_whole_and_partially_aggregated(skewed):
     assert plan.count("Exchange") == 1 and "partial_count" in plan[plan.index("Exchange") :]
 
 
-def test_large_master_is_joined_on_a_salt(spark, skewed):
+@pytest.fixture
+def skew_split(spark):
+    """Joins by shuffle, with partitions counted as skewed from a few kilobytes on."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    }
+    settings |= {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_large_master_is_joined_once_and_a_hot_account_is_split(spark, skewed, skew_split):
+    """A third of the rows on one account, a tenth without any; no id of the master is copied."""
+    rows = skewed.withColumn("account_id", F.expr("if(hash(device_id) % 10 = 0, NULL, account_id)"))
     accounts = skewed.select("account_id").distinct().filter("account_id <> 'ACC00000007'")
-    small = flag_known_accounts(skewed, accounts)
-    large = flag_known_accounts(skewed, accounts, broadcast_bytes=0, salts=8)
-    assert "BroadcastHashJoin" in plan_of(small)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan = plan_of(large)
-        assert "SortMergeJoin [account_id" in plan and "_salt" in plan
-        hot = large.filter("account_id = 'ACC00000000'")
-        assert hot.count() == ROWS // 3 and hot.filter("NOT account_known").isEmpty()
-        assert large.exceptAll(small).isEmpty() and small.exceptAll(large).isEmpty()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    small = flag_known_accounts(rows, accounts)
+    large = flag_known_accounts(rows, accounts, broadcast_bytes=0)
+    assert "BroadcastHashJoin" in plan_of(small) and "BroadcastHashJoin" not in plan_of(large)
+    assert "explode" not in plan_of(large).lower()
+    large.collect()
+    plan = plan_of(large).split("== Initial Plan ==")[0]
+    assert "SortMergeJoin(skew=true)" in plan
+    hot = large.filter("account_id = 'ACC00000000'")
+    assert hot.count() > ROWS // 4 and hot.filter("NOT account_known").isEmpty()
+    assert large.filter("account_id IS NULL AND account_known").isEmpty()
+    assert large.exceptAll(small).isEmpty() and small.exceptAll(large).isEmpty()
+
+
+def test_rows_without_an_account_are_spread(spark, skewed, skew_split):
+    lost = skewed.withColumn("account_id", F.lit(None).cast("string"))
+    accounts = skewed.select("account_id").distinct()
+    flagged = flag_known_accounts(lost, accounts, broadcast_bytes=0)
+    sizes = Counter(r["part"] for r in flagged.withColumn("part", F.spark_partition_id()).collect())
+    assert sum(sizes.values()) == ROWS and max(sizes.values()) < ROWS / 2
+    assert flagged.filter("account_known").isEmpty()
 
 
 @pytest.mark.parametrize("tasks", [1, 7])
@@ -92,6 +122,11 @@ def test_results_do_not_depend_on_the_layout(skewed, tasks):
     assert actual.exceptAll(expected).isEmpty() and expected.exceptAll(actual).isEmpty()
 
 
+def test_the_classified_rows_take_one_deduplication(spark, sf_dir):
+    plan = plan_of(catalog._classified(spark, sf_dir))
+    assert plan.count("row_number(), 1, Final") == 1 and plan.count("Exchange") == 1
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python_in_any_plan(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
@@ -104,8 +139,7 @@ def test_no_cross_join_and_no_python_in_any_plan(spark, sf_dir, name):
     [
         ("supplier_day_baseline", {"l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"}),
         ("portable_hash_bucket", {"c_custkey", "c_name"}),
-        ("order_line_key_audit", {"l_orderkey", "l_linenumber"}),
-        ("duplicate_counts", {"event_id"}),
+        ("unlabelled_documents", {"doc_id", "lang", "source"}),
     ],
 )
 def test_scans_read_only_the_needed_columns(spark, sf_dir, name, columns):
@@ -114,9 +148,8 @@ def test_scans_read_only_the_needed_columns(spark, sf_dir, name, columns):
     assert {part.split(":")[0] for part in schema.split(",")} == columns
 
 
-def test_branches_share_one_deduplication_shuffle(spark, sf_dir):
-    df = QUERIES["layer_metrics"](spark, sf_dir)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("ReusedExchange") == 2
-    assert plan.count("row_number(), 1, Partial") == 1
+@pytest.mark.parametrize("name", ["layer_metrics", "union_by_name", "constraint_audit", "silver_reconciliation"])
+def test_several_readers_share_one_deduplication(spark, sf_dir, name):
+    """Deduplication runs in the write of the classified rows; no reader repeats its sort and window."""
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert "row_number()" not in plan and "WindowGroupLimit" not in plan

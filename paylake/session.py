@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,13 +35,13 @@ def local_session(app: str, cores: int | str = "*", memory: str = "8g", **conf:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. A machine-local
-    folder is used only in local mode with the setting absent.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only in local mode, where one
+    machine has it all, an unset folder is replaced by one below the warehouse.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="paylake-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/paylake-{label}-{uuid.uuid4().hex}"

@@ -133,7 +133,8 @@ def test_scratch_folder_is_never_machine_local_on_a_cluster():
     assert scratch_path(session_stub("yarn", checkpoint_dir="hdfs:///c"), "x").startswith("hdfs:///c/")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(session_stub("yarn"), "x")
-    assert scratch_path(session_stub("local[2]"), "x")
+    local = session_stub("local[2]", {"spark.sql.warehouse.dir": "/w/"})
+    assert scratch_path(local, "x").startswith("/w/_scratch/")
 
 
 def test_union_all_equals_the_single_scan_view(spark, sf_dir):

@@ -87,4 +87,8 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-SQL: dict[str, str] = {"op6_line_dedup": line_templates.sql()}
+SQL: dict[str, str] = {
+    "op4_decontamination": decontamination.sql(),
+    "op6_line_dedup": line_templates.sql(),
+    "op7_secret_scans": secrets.sql(),
+}

@@ -230,3 +230,28 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
         F.sha2(F.array_join(F.array_sort("found.items"), ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def sql(size: int = WINDOW) -> str:
+    """The same report for DuckDB, by joining every window of every document with those of the items."""
+    words = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    split = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{words}')"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, {split} AS words FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {split} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(words), {size}) AS n, words[i : i + least(len(words), {size}) - 1] AS w
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - {size} + 1, 1) + 1)) AS i FROM items WHERE len(words) > 0)),
+places AS (
+  SELECT row_no, n, i, words[i : i + n - 1] AS w
+  FROM (SELECT row_no, n, words, unnest(range(1, len(words) - n + 2)) AS i
+        FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)),
+found AS (SELECT row_no, p.n, i, item FROM places p JOIN windows x ON p.n = x.n AND p.w = x.w),
+hits AS (SELECT row_no, count(DISTINCT place) AS n_hit FROM (SELECT row_no, unnest(range(i, i + n)) AS place FROM found) GROUP BY 1),
+held AS (SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+         FROM (SELECT DISTINCT row_no, item FROM found) GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (row_no) LEFT JOIN held USING (row_no)
+"""

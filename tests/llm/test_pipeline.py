@@ -12,6 +12,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
+from checks.compare import connect, spark_rows, sql_rows
 from paylake.llm import catalog, line_templates, stages, toxicity
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -28,6 +29,13 @@ def test_queries_are_registered():
     assert "pipeline" in names and set(catalog.SQL) <= set(__spark_entry__.oracle_sql())
 
 
+@pytest.mark.parametrize("name", catalog.SQL)
+def test_queries_equal_their_sql(spark, name):
+    names, expected = sql_rows(connect(SMALL), catalog.SQL[name])
+    found = catalog.QUERIES[name](spark, SMALL)
+    assert sorted(found.columns) == names and spark_rows(found) == expected
+
+
 def test_stages_do_what_their_operators_decide(spark, small):
     from test_near_duplicates import fingerprint, near_pairs, roots
     from test_search import search

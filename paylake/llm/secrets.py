@@ -110,12 +110,14 @@ def scan_unseen(
     known = ledger.groupBy("blob").agg(F.flatten(F.collect_list("scanned")).alias("done"))
     wanted = F.array(*[F.lit(_key(rule)) for rule in rules])
     none = F.array().cast("array<string>")
+    # Copies are combined before the shuffle, then the ledger is asked about each blob once.
+    blobs = versions.select(
+        blob_id(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text")
+    ).dropDuplicates(["blob"])
     unseen = (
-        versions.select(blob_id(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-        .join(known, "blob", "left")
+        blobs.join(known, "blob", "left")
         .withColumn("missing", F.array_except(wanted, F.coalesce("done", none)))
         .where(F.size("missing") > 0)
-        .dropDuplicates(["blob"])
     )
     parts = F.concat(*[_parts(rule, i) for i, rule in enumerate(rules)])
     scanned = stored(spark, unseen.select("blob", "missing", parts.alias("parts")), "scanned")
@@ -183,3 +185,39 @@ def secret_report(spark: SparkSession, docs: DataFrame, ledger: DataFrame | None
         F.sha2(_digest(base), 256).alias("base_sha256"),
         _digest(F.col("spans")).alias("spans"),
     )
+
+
+def sql() -> str:
+    """The same report for DuckDB: lengths of matches and of the texts between them, added up."""
+
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    parts = " UNION ALL ".join(
+        f"""SELECT row_no, '{rule.kind}' AS kind, {i} AS rank, {rule.least} AS least,
+            string_split_regex(text, {quoted(_pattern(rule))}) AS gaps,
+            regexp_extract_all(text, {quoted(_pattern(rule))}) AS found,
+            regexp_extract_all(text, {quoted(_pattern(rule))}, {rule.group}) AS value FROM docs"""
+        for i, rule in enumerate(RULES)
+    )
+    base = ", ".join(f"'{rule.kind}'" for rule in BASE_RULES)
+    counts = ", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE_RULES)
+    zeros = ", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for rule in BASE_RULES)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents),
+parts AS ({parts}),
+places AS (
+  SELECT row_no, kind, rank, length(found[i]) AS size, length(value[i]) AS value_size, least,
+    list_sum([length(g) for g in gaps[1:i]]) + coalesce(list_sum([length(m) for m in found[1 : i - 1]]), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM parts)),
+named AS (
+  SELECT row_no, kind, rank, start, concat(kind, ':', CAST(start AS BIGINT), ':', CAST(start + size AS BIGINT)) AS name
+  FROM places WHERE value_size >= least),
+told AS (
+  SELECT row_no, {counts},
+    string_agg(name, ',' ORDER BY start, rank) FILTER (kind IN ({base})) AS base,
+    string_agg(name, ',' ORDER BY start, rank) AS spans
+  FROM named GROUP BY row_no)
+SELECT doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told USING (row_no)
+"""

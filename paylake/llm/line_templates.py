@@ -139,6 +139,7 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()
         .agg(F.count(F.lit(1)).alias("n_docs"), F.max("n_tokens").alias("n_tokens"), F.min(place).alias("keeper"))
         .where((F.col("n_docs") >= rules.min_docs) & (F.col("n_docs") * F.col("n_tokens") >= rules.min_mass))
     )
+    recurring = small_side(stored(spark, recurring.select("template", "keeper"), "recurring"), 1024)
     return parsed.drop("n_tokens").join(recurring, "template").select(
         "doc_id", "content", "line_no", "template", place.eqNullSafe(F.col("keeper")).alias("first")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -10,16 +12,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from paylake.llm.memo import forget
 from paylake.llm.workers import ship
 
 # One slice holds about this much text, or a single row where that is longer.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def text_slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each slice holds about ``limit`` bytes of ``column``."""
+    """Cut batches so that each slice holds about ``limit`` bytes of ``column``.
+
+    Memory that Arrow keeps from the slice before goes back first.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
@@ -27,6 +33,7 @@ def text_slices(
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+            pa.default_memory_pool().release_unused()
             yield batch.slice(start, stop - start)
             start = stop
 
@@ -58,10 +65,30 @@ def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
     )
 
 
+def _trim() -> None:
+    """Let the C library hand freed memory back, where it is one that keeps it."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, run, schema: pa.Schema) -> DataFrame:
-    """``mapInArrow`` with an Arrow schema."""
+    """``mapInArrow`` with an Arrow schema.
+
+    Python workers outlive their tasks, so what a task used is handed back at its end.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(run, from_arrow_schema(schema))
+
+    def run_and_release(batches):
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            _trim()
+
+    return df.mapInArrow(run_and_release, from_arrow_schema(schema))
 
 
 def map_slices(df: DataFrame, transform, schema: pa.Schema, column: str = "text") -> DataFrame:

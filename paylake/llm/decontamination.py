@@ -25,7 +25,7 @@ BLOCK_WORDS = 3
 # Window ends that one cursor covers.
 STRETCH = 64
 # Text searched at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 # Benchmark text searched in one pass; a larger benchmark takes several passes.
 PASS_BYTES = 8 << 20
 

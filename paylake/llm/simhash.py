@@ -35,6 +35,10 @@ def shingles(text: str, words: int) -> list[bytes]:
     return [b" ".join(split[i : i + words]) for i in range(len(split) - words + 1)]
 
 
+# Shingles whose bits are counted at once, or those of one longer text.
+SETTLE = 50_000
+
+
 def fingerprints(strings: pa.Array, words: int) -> np.ndarray:
     """64-bit SimHash of each text: a bit is set if over half of its shingles' hashes have it."""
     hashes: list[int] = []
@@ -47,7 +51,7 @@ def fingerprints(strings: pa.Array, words: int) -> np.ndarray:
         if not rows:
             return
         bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        counts = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int64)
+        counts = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
         over = counts * 2 > np.array(sizes)[:, None]
         out[rows] = np.packbits(over, axis=1).view(">u8").ravel()
         hashes.clear(), sizes.clear(), rows.clear()
@@ -58,7 +62,7 @@ def fingerprints(strings: pa.Array, words: int) -> np.ndarray:
             hashes.extend([digest(part, SEED) for part in parts])
             sizes.append(len(parts))
             rows.append(i)
-        if len(hashes) > 200_000:
+        if len(hashes) > SETTLE:
             settle()
     settle()
     return out

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from paylake.llm.memo import Memo
+
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
 
@@ -23,38 +25,6 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Memo:
-    """Values by key for one Python worker, in two generations of bounded size.
-
-    ``compute`` gets the unknown keys of a call at once. When the young generation is
-    full it becomes the old one, so keys in use stay and memory does not grow.
-    """
-
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 250_000):
-        self.compute, self.limit = compute, limit
-        self.young: dict[str, object] = {}
-        self.old: dict[str, object] = {}
-
-    def get(self, keys: list[str]) -> list:
-        found = list(map(self.young.get, keys))
-        missing = [i for i, value in enumerate(found) if value is None]
-        unknown = []
-        for i in missing:
-            value = self.old.get(keys[i])
-            if value is None:
-                unknown.append(i)
-            else:
-                found[i] = self.young[keys[i]] = value
-        for start in range(0, len(unknown), 20_000):
-            part = unknown[start : start + 20_000]
-            names = [keys[i] for i in part]
-            for i, name, value in zip(part, names, self.compute(names), strict=True):
-                found[i] = self.young[name] = value
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
-        return found
-
-
 class WordEncoder:
     """Ids of whole texts as the tokenizers library gives them, with each distinct chunk encoded once.
 
@@ -72,6 +42,8 @@ class WordEncoder:
     TOGETHER = 512
 
     def __init__(self, name: str = WORDS):
+        # Spark runs a worker per core; the library's own threads would only compete.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary_path(name))

@@ -16,7 +16,7 @@ _VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint6
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (_BASE, pow(_BASE, -1, 1 << 64)):
@@ -48,7 +48,7 @@ class Words:
         self.start = np.flatnonzero(inside & ~before)
         self.end = np.flatnonzero(inside & ~behind) + 1
         self.first = np.searchsorted(self.start, places)
-        up, down = _powers(1 << max(12, int(len(flat)).bit_length()))
+        up, down = _powers(1 << max(20, int(len(flat)).bit_length()))
         sums = np.zeros(len(flat) + 1, np.uint64)
         np.cumsum(np.where(inside, _VALUES[self.lowered], 0) * up[: len(flat)], out=sums[1:])
         self.hash = (sums[self.end] - sums[self.start]) * down[self.start]

@@ -10,11 +10,20 @@ from pyspark.sql import SparkSession
 
 import paylake
 
+# Texts are long: batches between the JVM and Python are bounded by bytes, 64 MB if nobody says less.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand the package to Spark once per application; Spark copies it to every executor."""
+    """Hand the package to Spark once per application; Spark copies it to every executor.
+
+    The archive lies in the driver's own folder, from where Spark serves it. A session without a
+    bound of its own on the bytes of Arrow batches gets ``BATCH_BYTES``.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

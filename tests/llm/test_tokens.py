@@ -12,7 +12,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from paylake.llm import bit_packing, packing, token_counts
-from paylake.llm.vocabulary import Memo, piece_counter, word_encoder
+from paylake.llm.memo import Memo, forget
+from paylake.llm.vocabulary import piece_counter, word_encoder
 from paylake.session import scratch_path
 
 BITS_AND_PIECES = st.lists(
@@ -41,6 +42,8 @@ def test_memo_stays_bounded_and_right():
         keys = [str(i), str(i // 2), "always"]
         assert memo.get(keys) == [k * 2 for k in keys]
     assert len(memo.young) <= 13 and len(memo.old) <= 13
+    forget()
+    assert not memo.young and not memo.old and memo.get(["x"]) == ["xx"]
 
 
 def encoded(text, end):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from paylake.llm import arrow
 from paylake.llm.ordering import stored
-from paylake.llm.vocabulary import Memo
+from paylake.llm.memo import Memo
 
 ORDER = 5
 # Orders up to this one are shared by both classes.
@@ -32,6 +32,9 @@ THRESHOLD = 0.7
 # Labelled documents that the classes are learned from, at most; chosen by a hash of their id.
 MAX_LABELLED = 24_000
 BEGIN, END = "^", "$"
+# Distinct chunks of text, or grams, that a task holds at once.
+MOST_CHUNKS = 200_000
+MOST_MEMO = 50_000
 
 # A word is a run of ASCII digits, ASCII letters and characters above ASCII.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -40,8 +43,13 @@ GRAMS = pa.schema([("gram", pa.string()), ("toxic", pa.int64()), ("ordinary", pa
 
 
 def words(strings: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Lower-cased chunks between ASCII blanks: text number and code of each, and the distinct chunks."""
-    split = pc.ascii_split_whitespace(pc.utf8_lower(strings))
+    """Lower-cased chunks: text number and code of each, and the distinct chunks.
+
+    Chunks end at ASCII blanks, and before a punctuation mark behind a letter, as most words
+    occur both with and without one.
+    """
+    spaced = pc.replace_substring_regex(pc.utf8_lower(strings), "([a-z])([.,!*&%$#?;:])", r"\1 \2")
+    split = pc.ascii_split_whitespace(spaced)
     sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
     coded = split.flatten().dictionary_encode()
     return np.repeat(np.arange(len(strings)), sizes), coded.dictionary.to_pylist(), coded.indices.to_numpy()
@@ -83,16 +91,28 @@ def corpus_grams(docs: DataFrame) -> DataFrame:
     """Every gram of one order above the shared ones in the whole corpus, with its frequency."""
     schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        _, names, codes = words(arrow.texts(batch))
-        sums: Counter = Counter()
-        for name, n in zip(names, np.bincount(codes, minlength=len(names)).tolist(), strict=True):
-            for word in WORD.findall(name):
-                for gram in grams(word, SHARED + 1):
-                    sums[gram] += n
+    def count(chunks: Counter) -> pa.RecordBatch:
+        sums: defaultdict[str, int] = defaultdict(int)
+        for chunk, n in chunks.items():
+            for word in WORD.findall(chunk):
+                marked = BEGIN + word + END
+                for i in range(1, len(marked)):
+                    sums[marked[max(0, i - SHARED) : i + 1]] += n
         return arrow.table(schema, gram=list(sums), n=list(sums.values()))
 
-    return arrow.map_slices(docs.select("text"), count, schema).groupBy("gram").agg(F.sum("n").alias("n"))
+    def run(batches):
+        chunks: Counter = Counter()  # a word is taken apart once for as much text as fits
+        for batch in arrow.text_slices(batches, limit=arrow.SLICE_BYTES):
+            _, names, codes = words(arrow.texts(batch))
+            for name, n in zip(names, np.bincount(codes, minlength=len(names)).tolist(), strict=True):
+                chunks[name] += n
+            if len(chunks) > MOST_CHUNKS:
+                yield count(chunks)
+                chunks.clear()
+        yield count(chunks)
+
+    found = arrow.map_batches(docs.select("text"), run, schema)
+    return found.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def shared_backoff(spark: SparkSession, docs: DataFrame, pairs: list[str]) -> dict[str, float]:
@@ -167,16 +187,37 @@ class Ratios:
             h: math.log(toxic.backoff(h) / ordinary.backoff(h)) for h in toxic.total.keys() | ordinary.total.keys()
         }
 
-    def word(self, word: str) -> float:
+    def last(self, gram: str) -> float:
+        """Ratio of the last character behind the others, over as many of them as either class knows."""
         total = 0.0
-        for gram in grams(word, ORDER):
-            while len(gram) > SHARED:
-                ratio = self.gram.get(gram)
-                if ratio is not None:
-                    total += ratio
-                    break
-                total += self.backoff.get(gram[:-1], 0.0)
-                gram = gram[1:]
+        while len(gram) > SHARED:
+            ratio = self.gram.get(gram)
+            if ratio is not None:
+                return total + ratio
+            total += self.backoff.get(gram[:-1], 0.0)
+            gram = gram[1:]
+        return total
+
+
+
+class Scorer:
+    """Scores of words and texts under a model, with what a task has met so far."""
+
+    def __init__(self, ratios: Ratios):
+        self.ratios = ratios
+        self.told: dict[str, float] = {}
+        self.memo = Memo(self.chunks, MOST_MEMO)
+
+    def word(self, word: str) -> float:
+        marked, total, told = BEGIN + word + END, 0.0, self.told
+        for i in range(1, len(marked)):
+            gram = marked[max(0, i - ORDER + 1) : i + 1]
+            ratio = told.get(gram)
+            if ratio is None:
+                ratio = told[gram] = self.ratios.last(gram)
+            total += ratio
+        if len(told) > MOST_CHUNKS:
+            told.clear()
         return total
 
     def chunks(self, names: list[str]) -> list[tuple[float, int]]:
@@ -184,10 +225,10 @@ class Ratios:
         split = [WORD.findall(name) for name in names]
         return [(sum(map(self.word, each)), len(each)) for each in split]
 
-    def documents(self, strings: pa.Array, memo: Memo) -> np.ndarray:
+    def documents(self, strings: pa.Array) -> np.ndarray:
         """Mean ratio per word; 0 for a text without words."""
         rows, names, codes = words(strings)
-        found = np.array(memo.get(names), np.float64).reshape(-1, 2)
+        found = np.array(self.memo.get(names), np.float64).reshape(-1, 2)
         sums = np.bincount(rows, found[codes, 0], minlength=len(strings))
         counts = np.bincount(rows, found[codes, 1], minlength=len(strings))
         return sums / np.maximum(counts, 1)
@@ -233,10 +274,9 @@ def _scores(docs: DataFrame, shared, curve: tuple[float, float], column: str) ->
     schema = to_arrow_schema(docs.schema).append(pa.field(column, pa.float64()))
 
     def run(batches):
-        ratios = shared.value
-        memo = Memo(ratios.chunks)
-        for batch in arrow.text_slices(batches):
-            mean = ratios.documents(arrow.texts(batch), memo)
+        scorer = Scorer(shared.value)
+        for batch in arrow.text_slices(batches, limit=arrow.SLICE_BYTES):
+            mean = scorer.documents(arrow.texts(batch))
             score = 1 / (1 + np.exp(-np.clip(curve[0] * mean + curve[1], -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], schema=schema)
 

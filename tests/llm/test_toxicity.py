@@ -68,7 +68,7 @@ def test_probabilities_behind_every_context_sum_to_one():
 def test_word_ratios_are_sums_of_log_probabilities():
     shared = shared_of(WORDS)
     toxic, ordinary = tox.ClassModel(longest(WORDS[:3]), shared), tox.ClassModel(longest(WORDS[3:]), shared)
-    ratios = tox.Ratios(toxic, ordinary)
+    ratios = tox.Scorer(tox.Ratios(toxic, ordinary))
     for word in [*WORDS, "idiotic", "zzz", "x"]:
         slow = sum(
             math.log(toxic.probability(g) / ordinary.probability(g)) for g in tox.grams(word, tox.ORDER) if len(g) > 2

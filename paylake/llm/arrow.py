@@ -91,11 +91,13 @@ def map_batches(df: DataFrame, run, schema: pa.Schema) -> DataFrame:
     return df.mapInArrow(run_and_release, from_arrow_schema(schema))
 
 
-def map_slices(df: DataFrame, transform, schema: pa.Schema, column: str = "text") -> DataFrame:
+def map_slices(
+    df: DataFrame, transform, schema: pa.Schema, column: str = "text", limit: int = SLICE_BYTES
+) -> DataFrame:
     """Run ``transform(batch)`` over bounded slices; it returns one batch of ``schema``."""
 
     def run(batches):
-        for batch in text_slices(batches, column):
+        for batch in text_slices(batches, column, limit):
             yield transform(batch)
 
     return map_batches(df, run, schema)

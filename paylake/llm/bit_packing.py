@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from paylake.llm import arrow
-from paylake.llm.vocabulary import WORDS, word_encoder
+from paylake.llm.vocabulary import SLICE_BYTES, WORDS, word_encoder
 
 # Ids in one block; a longer document is a block of its own.
 BLOCK_TOKENS = 8192
@@ -86,7 +86,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 1, vocabulary: str =
         encoder = word_encoder(vocabulary)
         bits = bits_for(max(encoder.library.get_vocab_size(), end_id + 1))
         block = first = 0
-        for batch in arrow.text_slices(batches):
+        for batch in arrow.text_slices(batches, limit=SLICE_BYTES):
             ids, counts = encoder.encode(arrow.texts(batch))
             ends = np.cumsum(counts)
             ids = np.insert(ids, ends, np.uint32(end_id))

@@ -14,6 +14,8 @@ from paylake.llm.memo import Memo
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
+# Text encoded at once: the more, the fewer distinct chunks there are to encode.
+SLICE_BYTES = 8 << 20
 
 
 def vocabulary_path(name: str) -> str:
@@ -53,7 +55,7 @@ class WordEncoder:
         self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
         for token, number in self.library.get_vocab().items():
             self.ends_word[number] = token.endswith(self.WORD_END)
-        self.memo = Memo(self._encode)
+        self.memo = Memo(self._encode, 200_000)
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(chunks)

@@ -13,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from paylake.llm import arrow, decontamination, line_templates, secrets
+from paylake.llm import arrow, decontamination, line_templates, ordering, secrets
 from paylake.llm.line_templates import Rules
 from paylake.llm.words import Words
 
@@ -125,7 +125,9 @@ def in_sql(df, rules=Rules()):
     return Counter(connection.execute(line_templates.sql(rules)).fetchall())
 
 
-def test_line_report_of_small_documents_equals_sql(spark, small):
+@pytest.mark.parametrize("broadcast_bytes", [ordering.BROADCAST_BYTES, -1])
+def test_line_report_of_small_documents_equals_sql(spark, small, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(ordering, "BROADCAST_BYTES", broadcast_bytes)
     rules = Rules(min_mass=20)
     found = Counter(map(tuple, line_templates.line_report(spark, small[0], rules).collect()))
     assert found == in_sql(small[0], rules)

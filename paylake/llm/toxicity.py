@@ -1,10 +1,13 @@
-"""Toxicity by two Kneser-Ney character models, one of toxic and one of ordinary text.
-
-Both models predict the characters of words from up to four before them. Their lower orders are
-shared: how many different characters precede a pair, counted over the whole corpus. Where neither class
-knows an expression both back off to the same counts, so it says nothing either way. A
-document's score is its mean log-likelihood ratio per word, put on a 0-to-1 scale by a
-logistic curve fitted on labelled documents that the models have not seen.
+"""Toxicity by pairs of Kneser-Ney models, one of toxic and one of ordinary text.
+
+One pair predicts whole words: how many documents of a class hold a word, backed off to its
+frequency in the whole corpus. The other predicts the characters of words from up to four before
+them. Their lower orders are shared: how many different characters precede a pair, counted over the
+whole corpus. Where neither class knows an expression both back off to the same counts, so it says
+nothing either way. A document has two values: the log-likelihood ratios of its words over the
+square root of their number, as far as each can be told from chance, and the mean ratio of
+their characters. A logistic curve over both, fitted on labelled documents that the models have not
+seen, puts them on a 0-to-1 scale.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ ORDER = 5
 # Orders up to this one are shared by both classes.
 SHARED = 2
 DISCOUNT = 0.75
+# Standard errors that the two classes' counts of a word must differ by before it says anything.
+ERRORS = 2.5
 THRESHOLD = 0.7
 # Labelled documents that the classes are learned from, at most; chosen by a hash of their id.
 MAX_LABELLED = 24_000
@@ -40,6 +45,8 @@ MOST_MEMO = 50_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 GRAMS = pa.schema([("gram", pa.string()), ("toxic", pa.int64()), ("ordinary", pa.int64())])
+WORDS = pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("ordinary", pa.int64())])
+VALUES = pa.schema([("toxic", pa.int32()), ("characters", pa.float64()), ("words", pa.float64())])
 
 
 def words(strings: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
@@ -87,18 +94,50 @@ def class_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
+def word_counts(labelled: DataFrame) -> DataFrame:
+    """How many toxic and how many ordinary documents (text, toxic) hold each word."""
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, names, codes = words(arrow.texts(batch))
+        split = [WORD.findall(name) for name in names]
+        held = defaultdict(set)
+        for row, code in zip(rows.tolist(), codes.tolist(), strict=True):
+            held[row].update(split[code])
+        sums = defaultdict(lambda: [0, 0])
+        toxic = batch.column("toxic").to_pylist()
+        for row, found in held.items():
+            for word in found:
+                sums[word][toxic[row] != 1] += 1
+        return arrow.table(
+            WORDS,
+            word=list(sums),
+            toxic=[x[0] for x in sums.values()],
+            ordinary=[x[1] for x in sums.values()],
+        )
+
+    counted = arrow.map_slices(labelled.select("text", "toxic"), count, WORDS)
+    return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+
 def corpus_grams(docs: DataFrame) -> DataFrame:
-    """Every gram of one order above the shared ones in the whole corpus, with its frequency."""
-    schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
+    """Frequencies in the whole corpus: every gram of one order above the shared ones, and every ``word``."""
+    schema = pa.schema([("gram", pa.string()), ("word", pa.bool_()), ("n", pa.int64())])
 
     def count(chunks: Counter) -> pa.RecordBatch:
         sums: defaultdict[str, int] = defaultdict(int)
+        whole: defaultdict[str, int] = defaultdict(int)
         for chunk, n in chunks.items():
             for word in WORD.findall(chunk):
+                whole[word] += n
                 marked = BEGIN + word + END
                 for i in range(1, len(marked)):
                     sums[marked[max(0, i - SHARED) : i + 1]] += n
-        return arrow.table(schema, gram=list(sums), n=list(sums.values()))
+        return arrow.table(
+            schema,
+            gram=[*sums, *whole],
+            word=[False] * len(sums) + [True] * len(whole),
+            n=[*sums.values(), *whole.values()],
+        )
 
     def run(batches):
         chunks: Counter = Counter()  # a word is taken apart once for as much text as fits
@@ -112,16 +151,47 @@ def corpus_grams(docs: DataFrame) -> DataFrame:
         yield count(chunks)
 
     found = arrow.map_batches(docs.select("text"), run, schema)
-    return found.groupBy("gram").agg(F.sum("n").alias("n"))
+    return found.groupBy("gram", "word").agg(F.sum("n").alias("n"))
+
 
+def word_ratios(spark: SparkSession, labelled: DataFrame, corpus: DataFrame) -> dict[str, float]:
+    """Log-likelihood ratios of the words of the labelled documents, 0 ones left out.
 
-def shared_backoff(spark: SparkSession, docs: DataFrame, pairs: list[str]) -> dict[str, float]:
+    Both classes back off to the word's share of the whole ``corpus`` (stored ``corpus_grams``). A
+    ratio counts in part, down to nothing where ``ERRORS`` standard errors of the two
+    counts explain it. Only words that say something reach the driver.
+    """
+    counts = stored(spark, word_counts(labelled), "words")
+    sums = counts.agg(
+        *[F.sum(kind).alias(kind) for kind in ("toxic", "ordinary")],
+        *[F.count_if(F.col(kind) > 0).alias(f"{kind}_kinds") for kind in ("toxic", "ordinary")],
+    ).first()
+    if not sums["toxic"] or not sums["ordinary"]:
+        return {}
+    total = corpus.where("word").agg(F.sum("n").alias("n")).first()["n"]
+    odds = F.log((F.col("toxic") + 0.5) / (F.col("ordinary") + 0.5)) - math.log(sums["toxic"] / sums["ordinary"])
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("ordinary") + 0.5))
+    told = counts.withColumn("weight", 1 - ERRORS * error / F.abs(odds)).where("weight > 0")
+    shared = corpus.where("word").select(F.col("gram").alias("word"), (F.col("n") / total).alias("share"))
+
+    def probability(kind: str) -> F.Column:
+        own = F.greatest(F.col(kind) - DISCOUNT, F.lit(0)) / sums[kind]
+        return own + DISCOUNT * sums[f"{kind}_kinds"] / sums[kind] * F.col("share")
+
+    ratio = F.col("weight") * F.log(probability("toxic") / probability("ordinary"))
+    found = told.join(shared, "word").select("word", ratio.alias("ratio")).toArrow()  # bounded by the labelled rows
+    return dict(zip(found.column("word").to_pylist(), found.column("ratio").to_pylist(), strict=True))
+
+
+def shared_backoff(
+    spark: SparkSession, docs: DataFrame, pairs: list[str], corpus: DataFrame | None = None
+) -> dict[str, float]:
     """Shared probability of the second character of each pair behind the first.
 
-    Counts are over all documents; only the asked pairs, which the labelled sample bounds, and
-    their sums reach the driver.
+    Counts are over all documents, or taken from their stored ``corpus_grams``; only the asked pairs,
+    which the labelled sample bounds, and their sums reach the driver.
     """
-    all_grams = stored(spark, corpus_grams(docs), "grams")
+    all_grams = (corpus or stored(spark, corpus_grams(docs), "grams")).where("not word")
     first = F.col("gram").startswith(BEGIN) & (F.length("gram") == 2)
     two = (
         all_grams.select(
@@ -178,9 +248,10 @@ class ClassModel:
 
 
 class Ratios:
-    """Log-likelihood ratios of grams and back-offs, for scoring words."""
+    """Log-likelihood ratios of grams and back-offs, and of whole words, for scoring words."""
 
-    def __init__(self, toxic: ClassModel, ordinary: ClassModel):
+    def __init__(self, toxic: ClassModel, ordinary: ClassModel, whole: dict[str, float] | None = None):
+        self.whole = whole or {}
         known = toxic.counts.keys() | ordinary.counts.keys()
         self.gram = {g: math.log(toxic.probability(g) / ordinary.probability(g)) for g in known}
         self.backoff = {
@@ -220,30 +291,38 @@ class Scorer:
             told.clear()
         return total
 
-    def chunks(self, names: list[str]) -> list[tuple[float, int]]:
-        """Ratio and number of words of each chunk."""
+    def chunks(self, names: list[str]) -> list[tuple[float, float, int]]:
+        """Ratio by characters, ratio by words and number of words of each chunk."""
         split = [WORD.findall(name) for name in names]
-        return [(sum(map(self.word, each)), len(each)) for each in split]
+        whole = self.ratios.whole
+        return [(sum(map(self.word, each)), sum(whole.get(word, 0.0) for word in each), len(each)) for each in split]
 
-    def documents(self, strings: pa.Array) -> np.ndarray:
-        """Mean ratio per word; 0 for a text without words."""
+    def values(self, strings: pa.Array) -> np.ndarray:
+        """Mean ratio by characters, and ratios by words over the root of their number; 0 without words.
+
+        Chance adds up like the square root, so a few telling words count in long texts too.
+        """
         rows, names, codes = words(strings)
-        found = np.array(self.memo.get(names), np.float64).reshape(-1, 2)
-        sums = np.bincount(rows, found[codes, 0], minlength=len(strings))
-        counts = np.bincount(rows, found[codes, 1], minlength=len(strings))
-        return sums / np.maximum(counts, 1)
+        found = np.array(self.memo.get(names), np.float64).reshape(-1, 3)
+        sums = [np.bincount(rows, found[codes, i], minlength=len(strings)) for i in range(3)]
+        counts = np.maximum(sums[2], 1)
+        return np.stack([sums[0] / counts, sums[1] / np.sqrt(counts)], axis=1)
+
+    def documents(self, strings: pa.Array) -> np.ndarray:
+        """Mean ratio by characters per word; 0 for a text without words."""
+        return self.values(strings)[:, 0]
 
 
-def logistic(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a weak pull to zero."""
-    x = np.stack([values, np.ones(len(values))], axis=1)
-    at = np.zeros(2)
-    pull = np.diag([1e-3, 1e-3])
+def logistic(values: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Slopes and offset of a logistic curve, by Newton steps with a weak pull to zero."""
+    x = np.column_stack([values, np.ones(len(values))])
+    at = np.zeros(x.shape[1])
+    pull = np.eye(x.shape[1]) * 1e-3
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
         step = np.linalg.solve(x.T * (p * (1 - p)) @ x + pull, x.T @ (labels - p) - pull @ at)
         at = at + np.clip(step, -5, 5)
-    return float(at[0]), float(at[1])
+    return at
 
 
 def held_out(doc_id) -> F.Column:
@@ -267,7 +346,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic", tuning.alias("tuning"))
 
 
-def _scores(docs: DataFrame, shared, curve: tuple[float, float], column: str) -> DataFrame:
+def _values(labelled: DataFrame, shared) -> DataFrame:
+    """Label and both values of every row."""
+
+    def run(batches):
+        scorer = Scorer(shared.value)
+        for batch in arrow.text_slices(batches, limit=arrow.SLICE_BYTES):
+            values = scorer.values(arrow.texts(batch))
+            yield arrow.table(VALUES, toxic=batch.column("toxic"), characters=values[:, 0], words=values[:, 1])
+
+    return arrow.map_batches(labelled.select("text", "toxic"), run, VALUES)
+
+
+def _scores(docs: DataFrame, shared, curve: np.ndarray, column: str) -> DataFrame:
     """``docs`` with the score of ``text`` in ``column``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -276,8 +367,8 @@ def _scores(docs: DataFrame, shared, curve: tuple[float, float], column: str) ->
     def run(batches):
         scorer = Scorer(shared.value)
         for batch in arrow.text_slices(batches, limit=arrow.SLICE_BYTES):
-            mean = scorer.documents(arrow.texts(batch))
-            score = 1 / (1 + np.exp(-np.clip(curve[0] * mean + curve[1], -30, 30)))
+            values = scorer.values(arrow.texts(batch))
+            score = 1 / (1 + np.exp(-np.clip(values @ curve[:-1] + curve[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], schema=schema)
 
     return arrow.map_batches(docs, run, schema)
@@ -290,7 +381,7 @@ def score_toxicity(
 
     Labels are taken only from rows outside ``held_out``, at most ``most`` of them; the shared
     back-off counts cover all documents. Null and empty texts, and texts without words, get the score of
-    a mean ratio of 0. Without labels of both classes every score is the share of toxic labels
+    ratios of 0. Without labels of both classes every score is the share of toxic labels
     (0 without any). Every row and column stays, repeated rows too; scores use the text alone.
     """
     sample = stored(spark, labelled_sample(docs, labels, most), "labelled")
@@ -298,20 +389,21 @@ def score_toxicity(
     toxic, ordinary = (sum(n for (_, t), n in sizes.items() if t == kind) for kind in (True, False))
     if not sizes.get((False, True)) or not sizes.get((False, False)):
         return docs.withColumn(column, F.lit(toxic / max(1, toxic + ordinary)))
-    counts = class_counts(sample.where("not tuning")).toArrow()  # bounded by ``most``
+    learned = sample.where("not tuning")
+    counts = class_counts(learned).toArrow()  # bounded by ``most``
     names = counts.column("gram").to_pylist()
     pairs = sorted({g[-SHARED:] for g in names})
-    shared = shared_backoff(spark, docs, pairs)
+    corpus = stored(spark, corpus_grams(docs), "grams")
+    shared = shared_backoff(spark, docs, pairs, corpus)
     models = [
         ClassModel({g: n for g, n in zip(names, counts.column(kind).to_pylist(), strict=True) if n}, shared)
         for kind in ("toxic", "ordinary")
     ]
-    ratios = spark.sparkContext.broadcast(Ratios(*models))
-    plain = (1.0, 0.0)
+    ratios = spark.sparkContext.broadcast(Ratios(*models, word_ratios(spark, learned, corpus)))
     tuned = sample.where("tuning") if sizes.get((True, True)) and sizes.get((True, False)) else sample
-    told = _scores(tuned, ratios, plain, "p").select("p", "toxic").toArrow()
-    p = np.clip(told.column("p").to_numpy(), 1e-12, 1 - 1e-12)
-    curve = logistic(np.log(p / (1 - p)), (told.column("toxic").to_numpy() == 1).astype(float))
+    told = _values(tuned, ratios).toArrow()
+    values = np.stack([told.column(name).to_numpy() for name in ("characters", "words")], axis=1)
+    curve = logistic(values, (told.column("toxic").to_numpy() == 1).astype(float))
     return _scores(docs, ratios, curve, column)
 
 

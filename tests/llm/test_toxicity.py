@@ -150,3 +150,35 @@ def test_held_out_accuracy(spark):
     rejected = [r for r in found if r["predicted"]]
     assert sum(r["toxic"] for r in rejected) >= 0.9 * len(rejected)
     assert len(rejected) >= 0.3 * sum(r["toxic"] for r in found)
+
+
+def test_word_ratios_back_off_to_the_corpus_and_leave_out_chance(spark, docs):
+    texts = [f"both foo-bar Bad{'.' * (i % 2)} once{i} bad" for i in range(40)] + [f"both foo good other{i}" for i in range(40)]
+    df = docs(*texts, None, "", "bad good rare rare")
+    sample = df.where("doc_id < 80").selectExpr("text", "cast(doc_id < 40 as int) as toxic")
+    counted = {r["word"]: (r["toxic"], r["ordinary"]) for r in tox.word_counts(sample).collect()}
+    assert counted["bad"] == (40, 0) and counted["foo"] == (40, 40) and counted["once3"] == (1, 0)
+    corpus = tox.corpus_grams(df)
+    assert {r["gram"]: r["n"] for r in corpus.where("word").collect()}["bad"] == 81
+    found = tox.word_ratios(spark, sample, corpus)
+    assert found.keys() == {"bad", "bar", "good"} and found["bad"] > 0 > found["good"]
+    toxic, ordinary, tokens = 40 * 5, 40 * 4, 80 + 80 + 40 + 81 + 41 + 80 + 2  # words of both, foo, bar, bad, good, own, rare
+    odds, error = math.log(40.5 / 0.5) - math.log(toxic / ordinary), math.sqrt(1 / 40.5 + 1 / 0.5)
+    share = 81 / tokens
+    known = (40 - 0.75) / toxic + 0.75 * 44 / toxic * share
+    ratio = math.log(known / (0.75 * 43 / ordinary * share))
+    assert math.isclose(found["bad"], (1 - tox.ERRORS * error / odds) * ratio)
+
+
+def test_held_out_recall_of_words_by_language(spark):
+    """Toxic words of German and French look like others by their characters, not as words."""
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    found = tox.toxicity(spark, docs, labels).where("held_out").join(labels, "doc_id")
+    found = found.join(docs.select("doc_id", "lang"), "doc_id").collect()
+    rejected = [r for r in found if r["predicted"]]
+    assert sum(r["toxic"] for r in rejected) >= 0.95 * len(rejected)
+    for lang, least in (("en", 0.85), ("de", 0.75), ("fr", 0.65)):
+        toxic = [r["predicted"] for r in found if r["toxic"] and r["lang"] == lang]
+        assert sum(toxic) >= least * len(toxic), lang
+    toxic = [r["predicted"] for r in found if r["toxic"]]
+    assert sum(toxic) >= 0.75 * len(toxic)

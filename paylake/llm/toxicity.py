@@ -333,7 +333,7 @@ def held_out(doc_id) -> F.Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """Text and label of at most ``most`` ids outside the held-out part; ``tuning`` marks a quarter.
 
-    An id with several labels gets the larger one; ids and labels that are null teach nothing.
+    Rows that repeat an id and its text count once. An id with several labels gets the larger one; ids and labels that are null teach nothing.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id"))
@@ -343,7 +343,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
         .limit(most)
     )
     tuning = F.pmod(F.xxhash64("doc_id", F.lit("tuning")), F.lit(4)) == 0
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic", tuning.alias("tuning"))
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").distinct()
+    return found.select("text", "toxic", tuning.alias("tuning"))
 
 
 def _values(labelled: DataFrame, shared) -> DataFrame:

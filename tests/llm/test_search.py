@@ -229,3 +229,13 @@ def test_the_ledger_is_scanned_for_unseen_blobs_and_rule_versions_only(spark):
 def test_secret_scans_run_no_python(spark, small, capsys):
     secrets.secret_report(spark, small[0]).explain("formatted")
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_repeated_benchmark_rows_come_once(spark, docs, monkeypatch):
+    item = ("a", " ".join(f"word{i}" for i in range(60)))
+    taken = []
+    build = decontamination.build_tables
+    monkeypatch.setattr(decontamination, "build_tables", lambda own, size: taken.extend(own) or build(own, size))
+    benchmark = spark.createDataFrame([item] * 50 + [("b", item[1])], "item_id string, text string")
+    found = decontamination.find_benchmark(spark, docs(item[1]), benchmark).first()
+    assert sorted(taken) == [item, ("b", item[1])] and sorted(found["contamination"]["items"]) == ["a", "b"]

@@ -182,3 +182,10 @@ def test_held_out_recall_of_words_by_language(spark):
         assert sum(toxic) >= least * len(toxic), lang
     toxic = [r["predicted"] for r in found if r["toxic"]]
     assert sum(toxic) >= 0.75 * len(toxic)
+
+
+def test_rows_that_repeat_an_id_and_its_text_teach_once(spark, docs):
+    df = docs(*[(1, "the same text")] * 40, (1, "another text"), (7, "the same text"))  # ids that are not held out
+    sample = tox.labelled_sample(df, spark.createDataFrame([(1, 1), (7, 0)], "doc_id long, toxic int"), 10)
+    found = sorted((r["text"], r["toxic"]) for r in sample.collect())
+    assert found == [("another text", 1), ("the same text", 0), ("the same text", 1)]

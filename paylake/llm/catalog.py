@@ -11,10 +11,13 @@ from paylake.llm import (
     chunk_fingerprints,
     decontamination,
     line_templates,
+    minhash,
     packing,
+    periodic_runs,
     secrets,
     sharding,
     simhash,
+    source_divergence,
     token_counts,
     toxicity,
 )
@@ -71,6 +74,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), loop=True)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -84,6 +99,9 @@ QUERIES: dict[str, Query] = {
         op8_sharding,
         op9_simhash,
         op10_best_fit_packing,
+        op11_minhash,
+        op12_source_divergence,
+        op13_periodic_runs,
     )
 }
 
@@ -91,4 +109,7 @@ SQL: dict[str, str] = {
     "op4_decontamination": decontamination.sql(),
     "op6_line_dedup": line_templates.sql(),
     "op7_secret_scans": secrets.sql(),
+    "op11_minhash": minhash.sql(),
+    "op12_source_divergence": source_divergence.sql(),
+    "op13_periodic_runs": periodic_runs.sql(),
 }

@@ -1,0 +1,148 @@
+"""Min-max hashing against all pairs, on random, odd and skewed documents."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import __spark_entry__ as contract
+from checks.compare import sql_rows
+from paylake.llm import minhash
+from paylake.llm.minhash import Rules
+
+
+def shingles(text, words=2):
+    split = [w for w in (text or "").encode().lower().split()]
+    if not split:
+        return frozenset()
+    size = min(words, len(split))
+    return frozenset(b" ".join(split[i : i + size]) + bytes([size]) for i in range(len(split) - size + 1))
+
+
+def expected(rows, rules=Rules()):
+    sets = [shingles(text, rules.words) for _, text in rows]
+    up = list(range(len(rows)))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= rules.percent * len(a | b):
+                up[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        root = find(i)
+        if doc_id is not None:
+            least[root] = min(doc_id, least.get(root, doc_id))
+    out = Counter()
+    for i, (doc_id, _) in enumerate(rows):
+        component = least.get(find(i))
+        out[doc_id, len(sets[i]), component, doc_id is not None and doc_id == component] += 1
+    return out
+
+
+def found(spark, df, rules=Rules()):
+    return Counter(map(tuple, minhash.near_duplicates(spark, df, rules).collect()))
+
+
+def edited(rng, words, share):
+    return [f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in words]
+
+
+def test_sets_sizes_and_signatures_of_ties():
+    sets = minhash.shingle_sets(pa.array(["A b a B", "a", "", " \n ", "a a a", "Ä ä", "a b"]), 2)
+    assert [len(s) for s in sets] == [2, 1, 0, 0, 1, 1, 1]
+    assert sets[1][0] != sets[4][0] and set(sets[6]) < set(sets[0])
+
+
+def test_values_agree_as_often_as_sets_are_alike():
+    """Minima and maxima are unbiased: over 400 pairs of sets the share of equal bands is that of the model."""
+    rng = np.random.default_rng(5)
+    for alike in (0.5, 0.8, 0.9):
+        sets = []
+        for _ in range(400):
+            union = rng.integers(0, 1 << 64, 200, dtype=np.uint64)
+            both = int(200 * alike)
+            cut = both + (200 - both) // 2
+            sets += [np.sort(union[:cut]), np.sort(np.concatenate([union[:both], union[cut:]]))]
+        rules = Rules(rows=3, bands=48)
+        keys = minhash.band_keys(sets, rules)
+        share = (keys[::2] == keys[1::2]).mean()
+        assert share == pytest.approx(alike**3, abs=0.02)
+        rules = Rules()
+        keys = minhash.band_keys(sets, rules)
+        missed = (~(keys[::2] == keys[1::2]).any(axis=1)).mean()
+        assert missed == pytest.approx((1 - alike**6) ** 48, abs=0.06 if alike < 0.6 else 0.003)
+
+
+@pytest.mark.parametrize("block", [minhash.BLOCK, 60])
+def test_components_equal_all_pairs(spark, docs, monkeypatch, block):
+    """Chains, stars around an original, copies and texts at the threshold, in whole buckets and in small blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = random.Random(block)
+    texts = []
+    for _ in range(8):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([5, 12, 60, 150]))]
+        texts += [base] + [edited(rng, base, rng.choice([0.02, 0.05, 0.08])) for _ in range(12)]
+        chain = base
+        for _ in range(6):
+            chain = edited(rng, chain, 0.04)
+            texts.append(chain)
+    texts += texts[:20]
+    rng.shuffle(texts)
+    rows = [(i * 7 % 1009, " ".join(words)) for i, words in enumerate(texts)]
+    assert found(spark, docs(*rows)) == expected(rows)
+
+
+def test_apart_texts_of_a_bucket_are_compared_with_each_other(spark, docs):
+    """With one value a band, buckets hold many texts that are like others than their hub."""
+    rng = random.Random(3)
+    common = " ".join(f"c{i}" for i in range(30))
+    texts = []
+    for _ in range(15):
+        own = [f"w{rng.randrange(3000)}" for _ in range(40)]
+        texts += [f"{common} {' '.join(own)}", f"{common} {' '.join(edited(rng, own, 0.05))}"]
+    rows = list(enumerate(texts))
+    rules = Rules(rows=1, bands=16)
+    assert found(spark, docs(*rows), rules) == expected(rows, rules)
+
+
+def test_odd_and_empty_documents(spark, odd_docs, empty_docs):
+    rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    assert found(spark, odd_docs) == expected(rows)
+    assert minhash.near_duplicates(spark, empty_docs).collect() == []
+
+
+def test_a_hot_group_is_dealt_over_many_cells(spark, docs, monkeypatch):
+    """Copies of one text and near copies of it, each more than a third of all rows."""
+    monkeypatch.setattr(minhash, "BLOCK", 2_000)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(100)]
+    near = [" ".join(edited(rng, base, 0.02)) for _ in range(300)]
+    rows = list(enumerate([" ".join(base)] * 300 + near + [f"alone {i} {i + 1} of its own" for i in range(200)]))
+    rng.shuffle(rows)
+    cells = []
+    plain = minhash.confirmed
+
+    def watched(of, texts, rules):
+        cells.append(of.groupBy("cell").count().agg({"count": "max"}).first()[0] or 0)
+        return plain(of, texts, rules)
+
+    monkeypatch.setattr(minhash, "confirmed", watched)
+    assert found(spark, docs(*rows)) == expected(rows)
+    assert cells[0] < 60  # of 300 near copies
+
+
+def test_query_equals_sql(spark, duck, sf_dir):
+    df = contract.queries()["op11_minhash"](spark, sf_dir)
+    names, rows = sql_rows(duck, contract.oracle_sql()["op11_minhash"])
+    assert sorted(df.columns) == names
+    assert Counter(map(tuple, df.select(*names).collect())) == rows

@@ -1,0 +1,96 @@
+"""Runs from maximal pairs against every period at every place."""
+
+from __future__ import annotations
+
+from collections import Counter
+from hashlib import sha256
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as contract
+from checks.compare import connect, sql_rows
+from paylake.llm import periodic_runs as pr
+from paylake.llm.periodic_runs import Rules
+
+
+def brute(words, rules=Rules()):
+    least = {}
+    for period in range(1, len(words) // rules.min_exponent + 1):
+        start = 0
+        while start + period < len(words):
+            end = start
+            while end + period < len(words) and words[end] == words[end + period]:
+                end += 1
+            length = end - start + period
+            if end > start and length >= max(rules.min_length, rules.min_exponent * period):
+                least.setdefault((start, length), period)
+            start = max(end, start + 1)
+    return sorted(((s, n, p) for (s, n), p in least.items()), key=lambda run: (run[0], run[2]))
+
+
+def brute_row(doc_id, text, loop):
+    words = (text or "").encode().split()
+    index = pr.looped(doc_id, len(words)) if loop else None
+    if index is not None:
+        words = [words[i] for i in index]
+    found = brute(words)
+    gone = {i for start, length, period in found for i in range(start + period, start + length)}
+    best = max(found, key=lambda r: (r[1] / r[2], -r[0], -r[2])) if found else (None, None, None)
+    return (
+        doc_id, len(found), *best, 1000 * best[1] // best[2] if found else None,
+        sha256("".join(f"{s},{n},{p}\n" for s, n, p in found).encode()).hexdigest(),
+        sha256(b" ".join(w for i, w in enumerate(words) if i not in gone)).hexdigest(),
+    )
+
+
+PIECE = st.one_of(
+    st.lists(st.integers(0, 2), max_size=30),
+    st.builds(lambda p, n: (p * n)[: n * 2], st.lists(st.integers(0, 3), min_size=1, max_size=7), st.integers(1, 40)),
+    st.lists(st.integers(0, 1000), max_size=10),
+)
+TEXTS = st.lists(st.lists(PIECE, max_size=4).map(lambda parts: sum(parts, [])), min_size=1, max_size=4)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS, st.sampled_from([Rules(), Rules(6, 3), Rules(4, 2), Rules(10, 4)]))
+def test_runs_equal_brute_force(texts, rules):
+    assert pr.runs([np.array(t, np.int64) for t in texts], rules) == [brute(t, rules) for t in texts]
+
+
+def test_one_word_and_two_letter_words_in_long_texts():
+    fibonacci, other = [0], [0, 1]
+    while len(other) < 3000:
+        fibonacci, other = other, other + fibonacci
+    texts = [[7] * 5000, list(range(100)) * 40, [i.bit_count() & 1 for i in range(4096)], other[:1500]]
+    found = pr.runs([np.array(t, np.int64) for t in texts])
+    assert found[0] == [(0, 5000, 1)] and found[1] == [(0, 4000, 100)] and found[2] == []
+    assert found[3] == brute(texts[3])
+
+
+def test_ties_of_the_longest_run():
+    runs = [(0, 30, 10), (40, 24, 8), (5, 90, 30), (5, 27, 9)]
+    assert pr.longest(runs) == (0, 30, 10) and pr.longest(runs[2:]) == (5, 27, 9) and pr.longest([]) is None
+
+
+def test_whole_tables_and_odd_documents(spark, small, odd_docs, empty_docs):
+    df, rows = small
+    for loop in (False, True):
+        found = Counter(map(tuple, pr.periodic_runs(df, loop=loop).collect()))
+        assert found == Counter(brute_row(doc_id, text, loop) for doc_id, text in rows)
+    odd = [(r["doc_id"], r["text"]) for r in odd_docs.where("doc_id IS NULL OR doc_id <> 5").collect()]
+    found = pr.periodic_runs(odd_docs.where("doc_id IS NULL OR doc_id <> 5"), loop=True)
+    assert Counter(map(tuple, found.collect())) == Counter(brute_row(*row, True) for row in odd)
+    assert pr.periodic_runs(empty_docs).collect() == []
+    long = pr.periodic_runs(odd_docs.where("doc_id = 5")).first()
+    # 30,000 times "word{i % 977} pass"
+    assert (long["start"], long["length"], long["period"]) == (0, 60_000, 2 * 977)
+
+
+def test_query_equals_sql(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    df = contract.queries()["op13_periodic_runs"](spark, sf_dir)
+    names, rows = sql_rows(connect(sf_dir), contract.oracle_sql()["op13_periodic_runs"])
+    assert sorted(df.columns) == names
+    assert Counter(map(tuple, df.select(*names).collect())) == rows

@@ -164,6 +164,11 @@ MERCHANT_COLUMNS = (
 DISTINCT_PAYMENTS = """(SELECT count(DISTINCT txn_id) FROM raw)
     + (SELECT count(*) FROM (SELECT DISTINCT * FROM raw WHERE txn_id IS NULL))"""
 
+# What a payment is known by in every layer, and the order-free sum of its hashes.
+IDENTITY = """coalesce(txn_id, '?' || concat_ws('|', '\\N', coalesce(account_id, '\\N'),
+    coalesce(merchant_id, '\\N'), coalesce(txn_ts, '\\N')))"""
+CHECKSUM = "CAST(coalesce(sum(CAST('0x' || substr(md5(identity), 1, 15) AS BIGINT)), 0) AS VARCHAR)"
+
 
 def audit(name: str, source: str, key: str, required: str, bounded: dict[str, int]) -> str:
     """Repeated keys, NULLs in required columns and texts beyond their bound, as one row."""
@@ -174,6 +179,39 @@ def audit(name: str, source: str, key: str, required: str, bounded: dict[str, in
                   {nulls} AS null_violations, {longer} AS length_violations
            FROM {source}"""
 
+# Order lines as text with broken values, what the declared table takes of them, and which rules the rest breaks.
+LINE_TYPES = {
+    "l_orderkey": "BIGINT",
+    "l_linenumber": "INTEGER",
+    "l_partkey": "BIGINT",
+    "l_suppkey": "BIGINT",
+    "l_returnflag": "VARCHAR",
+    "l_shipdate": "TIMESTAMP",
+}
+LINE_FIELDS = ", ".join(LINE_TYPES)
+LINE_TEXTS = ", ".join(f"text_{name} AS {name}" for name in LINE_TYPES)
+LINE_TESTS = " || ".join(
+    f"""CASE WHEN text_{name} IS NULL THEN ' null:{name}' WHEN {name} IS NULL THEN ' type:{name}' ELSE '' END"""
+    + (f""" || CASE WHEN length(text_{name}) > 1 THEN ' length:{name}' ELSE '' END""" if name == "l_returnflag" else "")
+    for name in LINE_TYPES
+)
+LOADED = f"""WITH texts AS (
+    SELECT l_orderkey::VARCHAR AS text_l_orderkey,
+           CASE WHEN l_orderkey % 101 = 3 THEN '99999999999' ELSE l_linenumber::VARCHAR END AS text_l_linenumber,
+           CASE WHEN l_orderkey % 89 = 5 THEN NULL ELSE l_partkey::VARCHAR END AS text_l_partkey,
+           CASE WHEN l_orderkey % 97 = 7 THEN 'n/a' ELSE l_suppkey::VARCHAR END AS text_l_suppkey,
+           CASE WHEN l_orderkey % 83 = 11 THEN 'RR' ELSE l_returnflag END AS text_l_returnflag,
+           CASE WHEN l_orderkey % 79 = 13 THEN '2024-02-30 00:00:00'
+                ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS text_l_shipdate
+    FROM lineitem),
+typed AS (SELECT *, {", ".join(f"TRY_CAST(text_{n} AS {t}) AS {n}" for n, t in LINE_TYPES.items())} FROM texts),
+checked AS (SELECT *, trim(coalesce({LINE_TESTS}, '')) AS failed_rules FROM typed),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey, l_suppkey, l_returnflag, l_shipdate) AS nth
+    FROM checked WHERE failed_rules = ''),
+loaded AS (SELECT * FROM ranked WHERE nth = 1)
+"""
 
 SQL: dict[str, str] = {
     "raw_payments": over("raw", f"SELECT {RAW_COLUMNS} FROM raw"),
@@ -199,6 +237,8 @@ SQL: dict[str, str] = {
     "lake_build": over("gold", f"SELECT {GOLD_COLUMNS} FROM gold"),
     "lake_overwrite": over("merchant_gold", f"SELECT {MERCHANT_COLUMNS} FROM merchant_gold"),
     "lake_masked_rejects": over("rejects", f"SELECT * REPLACE ({MASKED} AS account_id) FROM rejects"),
+    "lake_published_rejects": over("rejects", f"SELECT * REPLACE ({MASKED} AS account_id) FROM rejects"),
+    "lake_published_ops": over("rejects", "SELECT * FROM rejects"),
     "dedup_exact": over("deduped", f"SELECT {RAW_COLUMNS} FROM deduped"),
     "dedup_row_number": """
         SELECT * FROM lineitem
@@ -247,15 +287,33 @@ SQL: dict[str, str] = {
               FROM parsed)
             WHERE reject_reason IS NOT NULL""",
     ),
+    "referential_rejects_reduced": over(
+        "parsed",
+        f"""SELECT * FROM (
+              SELECT txn_id, account_id, merchant_id, txn_ts,
+                     CASE WHEN amount_cast IS NULL THEN 'unparseable_amount'
+                          WHEN NOT EXISTS (SELECT 1 FROM customer
+                                           WHERE c_custkey % 13 <> 4
+                                             AND printf('ACC%08d', c_custkey) = parsed.account_id)
+                          THEN 'unknown_account'
+                          WHEN NOT {IN_PERIOD} THEN 'timestamp_out_of_range'
+                     END AS reject_reason
+              FROM parsed)
+            WHERE reject_reason IS NOT NULL""",
+    ),
     "unlabelled_documents": """
         SELECT doc_id, lang, source, false AS labelled FROM documents
         WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)""",
     "silver_reconciliation": over(
         "raw silver rejects",
-        f"""SELECT *, bronze_rows - duplicate_rows - reject_rows = clean_rows AS balanced
+        f"""SELECT *, bronze_rows - duplicate_rows - reject_rows = clean_rows
+                     AND raw_checksum = kept_checksum AS balanced
            FROM (SELECT (SELECT count(*) FROM raw) AS bronze_rows,
                         {DISTINCT_PAYMENTS} AS distinct_payments,
                         (SELECT count(*) FROM raw) - {DISTINCT_PAYMENTS} AS duplicate_rows,
+                        (SELECT {CHECKSUM} FROM (SELECT DISTINCT {IDENTITY} AS identity FROM raw)) AS raw_checksum,
+                        (SELECT {CHECKSUM} FROM (SELECT txn_id AS identity FROM silver
+                                                 UNION ALL SELECT {IDENTITY} FROM rejects)) AS kept_checksum,
                         (SELECT count(*) FROM silver) AS clean_rows,
                         count(*) AS reject_rows,
                         count(*) FILTER (reject_reason = 'malformed_line') AS malformed_line_rows,
@@ -389,6 +447,17 @@ SQL: dict[str, str] = {
             ]
         ),
     ),
+    "warehouse_load": f"{LOADED} SELECT {LINE_FIELDS} FROM loaded",
+    "warehouse_load_rejects": f"""{LOADED} SELECT {LINE_TEXTS}, failed_rules FROM checked WHERE failed_rules <> ''
+        UNION ALL SELECT {LINE_TEXTS}, 'key:l_orderkey,l_linenumber' FROM ranked WHERE nth > 1""",
+    "warehouse_load_audit": LOADED
+    + audit(
+        "lineitem",
+        "loaded",
+        "l_orderkey, l_linenumber",
+        "l_orderkey l_linenumber l_partkey l_suppkey l_returnflag l_shipdate",
+        {"l_returnflag": 1},
+    ),
     "order_line_key_audit": audit(
         "lineitem",
         "lineitem",

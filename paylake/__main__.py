@@ -21,6 +21,7 @@ from paylake.plans import audit, medallion
 from paylake.rules import Rules
 from paylake.session import ENGINE_CONF
 from paylake.sources.files import write_csv
+from paylake.sources.lake import KEPT_VERSIONS
 
 THRESHOLDS = ("baseline_days", "min_prior_days", "spike_factor", "burst_devices")
 
@@ -52,6 +53,8 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     build.add_argument("--check-accounts", action="store_true")
     build.add_argument("--silver-by-day", action="store_true")
     build.add_argument("--silver-tables", action="store_true")
+    build.add_argument("--published", metavar="DB", help="database of views masked by the reader's role")
+    build.add_argument("--keep-versions", type=int, default=KEPT_VERSIONS)
     build.add_argument("--broadcast-bytes", type=int, default=BROADCAST_BYTES)
     report = commands.add_parser("report", parents=[common])
     report.add_argument("report", metavar="OUT_DIR")
@@ -80,6 +83,8 @@ def main(argv: list[str] | None = None) -> None:
             args.raw_dir,
             rules,
             args.database,
+            args.keep_versions,
+            args.published,
             check_accounts=args.check_accounts,
             silver_by_day=args.silver_by_day,
             silver_tables=args.silver_tables,

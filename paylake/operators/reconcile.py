@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paylake.operators.dedup import payment_identity
@@ -13,6 +15,9 @@ from paylake.operators.quarantine import (
     UNPARSEABLE_AMOUNT,
 )
 
+# Raw values that rejects keep of a row, besides its reason.
+UNMATCHED_COLUMNS = ("txn_id", "account_id", "merchant_id", "txn_ts")
+
 
 def reason_counts() -> dict[str, Column]:
     """Rejects by reason, as aggregates over rows with a ``reject_reason``."""
@@ -38,37 +43,75 @@ def side_by_side(*one_row_frames: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
 
 
+def _sum_of_hashes(text: Column) -> Column:
+    """Order-free checksum: the exact sum of 60 bits of each text's MD5, as decimal text.
+
+    MD5 is in every SQL engine, so the sum can be computed elsewhere too.
+    """
+    head = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(20,0)")
+    return F.coalesce(F.sum(head).cast("string"), F.lit("0"))
+
+
+def _identity_text(row: Callable[[str], Column], unmatched: Column) -> Column:
+    """What a payment is known by in every layer: its id.
+
+    Rows that cannot be matched by id are told by the raw values that rejects keep of them.
+    """
+    kept = F.concat_ws("|", *[F.coalesce(row(name), F.lit("\\N")) for name in UNMATCHED_COLUMNS])
+    return F.when(unmatched, F.concat(F.lit("?"), kept)).otherwise(row("txn_id"))
+
+
 def duplicate_counts(raw: DataFrame) -> DataFrame:
     """Rows, distinct payments and surplus copies, counted from the raw rows alone.
 
     Copies are those deduplication merges: see ``payment_identity``. Rows are counted per
     identity before the shuffle, so a payment copied very often sends one row per task.
     """
+    return _per_identity(raw).agg(*_duplicates())
+
+
+def _per_identity(raw: DataFrame) -> DataFrame:
     keys = [key.alias(f"_key{i}") for i, key in enumerate(payment_identity(raw))]
-    per_key = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
+    return raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _duplicates() -> list[Column]:
+    return [
         F.coalesce(F.sum("n"), F.lit(0)).alias("bronze_rows"),
         F.count(F.lit(1)).alias("distinct_payments"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
-    )
+    ]
 
 
 def reconciliation(raw: DataFrame, silver: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Every layer counted from its own rows, with the verdict in ``balanced``.
+    """Every layer counted and summed from its own rows, with the verdict in ``balanced``.
 
-    ``balanced`` holds when raw rows less surplus copies less rejects are the clean rows. The
-    four counts come from three tables, so a lost or invented row shows.
+    ``balanced`` holds when raw rows less surplus copies less rejects are the clean rows, and when the
+    payments that came in are those that went out: ``raw_checksum`` sums hashes of the distinct
+    identities of the raw rows, ``kept_checksum`` those of clean rows and rejects. Both are exact and
+    free of order, so one row lost and another invented shows too, but for rows that share
+    all that identifies them.
     """
+    alone = F.col("_key1").isNotNull()
+    identity = _identity_text(lambda name: F.when(alone, F.col(f"_key1.{name}")).otherwise(F.col("_key0")), alone)
+    unmatched = F.col("txn_id").isNull() | F.coalesce(F.col("reject_reason") == MALFORMED_LINE, F.lit(False))
+    names = [*UNMATCHED_COLUMNS, "reject_reason"]
+    kept = silver.select("txn_id", *[F.lit(None).cast("string").alias(name) for name in names[1:]]).unionByName(
+        rejected.select(*names)
+    )
     counts = side_by_side(
-        duplicate_counts(raw),
-        silver.agg(F.count(F.lit(1)).alias("clean_rows")),
-        rejected.agg(
-            F.count(F.lit(1)).alias("reject_rows"),
+        _per_identity(raw).agg(*_duplicates(), _sum_of_hashes(identity).alias("raw_checksum")),
+        kept.agg(
+            # Every reject has a reason, no clean row has one.
+            F.count_if(F.col("reject_reason").isNull()).alias("clean_rows"),
+            F.count_if(F.col("reject_reason").isNotNull()).alias("reject_rows"),
             *[expr.alias(name) for name, expr in reason_counts().items()],
+            _sum_of_hashes(_identity_text(F.col, unmatched)).alias("kept_checksum"),
         ),
     )
     rest = F.col("bronze_rows") - F.col("duplicate_rows") - F.col("reject_rows")
-    return counts.withColumn("balanced", rest == F.col("clean_rows"))
+    same = F.col("raw_checksum") == F.col("kept_checksum")
+    return counts.withColumn("balanced", (rest == F.col("clean_rows")) & same)
 
 
 def layer_metrics(

@@ -38,6 +38,7 @@ from paylake.session import scratch_path
 from paylake.sources import payments
 from paylake.sources.files import read_csv, read_csv_inferred, table, write_csv
 from paylake.sources.lake import scratch_table
+from paylake.sources.lines import broken_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,7 +154,9 @@ def bronze_ingest_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _build(spark: SparkSession, sf_dir: str, inputs: list[DataFrame]) -> str:
+def _build(
+    spark: SparkSession, sf_dir: str, inputs: list[DataFrame], published: str | None = None
+) -> str:
     """Run the whole job over CSV files of each input in turn, into one fresh database."""
     database = f"paylake_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'lake')}'")
@@ -161,7 +164,7 @@ def _build(spark: SparkSession, sf_dir: str, inputs: list[DataFrame]) -> str:
         raw_dir = scratch_path(spark, "raw")
         write_csv(payments.raw_payments(events), f"{raw_dir}/txns.csv")
         write_csv(_accounts(spark, sf_dir), f"{raw_dir}/accounts.csv")
-        medallion.run(spark, raw_dir, RULES, database)
+        medallion.run(spark, raw_dir, RULES, database, published=published)
     return database
 
 
@@ -188,6 +191,30 @@ def lake_masked_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.{name}").drop("_rejected_at")
 
 
+def _published(spark: SparkSession, sf_dir: str, members: list[tuple[str, str]]) -> str:
+    """A build with a database for readers, and the given users' roles."""
+    published = f"paylake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {published} LOCATION '{scratch_path(spark, 'published')}'")
+    database = _build(spark, sf_dir, [table(spark, sf_dir, "events")], published)
+    governance.set_members(spark, database, members)
+    return published
+
+
+@query
+def lake_published_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects as a reader without a role sees them under the one published name."""
+    published = _published(spark, sf_dir, [("somebody else", governance.CLEAR_ROLE)])
+    return spark.table(f"{published}.silver_rejects").drop("_rejected_at")
+
+
+@query
+def lake_published_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects under the same name for a member of the role that sees clear ids."""
+    user = spark.sql("SELECT session_user() AS name").first()["name"]
+    published = _published(spark, sf_dir, [(user, governance.CLEAR_ROLE)])
+    return spark.table(f"{published}.silver_rejects").drop("_rejected_at")
+
+
 # Silver
 
 
@@ -239,7 +266,20 @@ def referential_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     modulus, remainder = payments.MASTER_HOLES
     listed = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % modulus != remainder)
     master = payments.account_master(listed, "c_custkey")
-    flagged = referential.flag_known_accounts(_parsed(spark, sf_dir), master)
+    flagged = referential.flag_known_accounts(_parsed(spark, sf_dir), master, ids=_raw(spark, sf_dir))
+    classified = quarantine.classify(flagged, RULES, unknown=referential.not_in_master())
+    return quarantine.rejects(classified)
+
+
+@query
+def referential_rejects_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a master too large for one task, so that only unknown ids come back to the payments."""
+    modulus, remainder = payments.MASTER_HOLES
+    listed = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % modulus != remainder)
+    master = payments.account_master(listed, "c_custkey")
+    # One byte less than the master takes as a list; the ids that it lacks are far fewer.
+    limit = referential.id_list_bytes(master) - 1
+    flagged = referential.flag_known_accounts(_parsed(spark, sf_dir), master, limit, _raw(spark, sf_dir))
     classified = quarantine.classify(flagged, RULES, unknown=referential.not_in_master())
     return quarantine.rejects(classified)
 
@@ -399,6 +439,29 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _order_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return governance.split_load(spark, broken_lines(table(spark, sf_dir, "lineitem")), ORDER_LINES)
+
+
+@query
+def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with broken values among them, as far as the declared table takes them."""
+    return _order_lines(spark, sf_dir)[0]
+
+
+@query
+def warehouse_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other order lines, each with all the rules that it breaks."""
+    rejected = _order_lines(spark, sf_dir)[1]
+    return rejected.withColumn(governance.FAILED_RULES, F.array_join(governance.FAILED_RULES, " "))
+
+
+@query
+def warehouse_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared rules checked on what was loaded: none is broken."""
+    return governance.audit_constraints(_order_lines(spark, sf_dir)[0], ORDER_LINES)
+
+
 @query
 def order_line_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared rules checked on the order lines, which do break their key."""

@@ -1,15 +1,17 @@
 """The batch job: two CSV inputs to bronze, silver and gold tables.
 
-Each layer is written once and the next one reads the written table, so no stage
-is run again from the raw files. Counts are observed during the writes, but for the
-conservation check, which counts bronze, silver and rejects each from its written table.
-Clean and rejected rows come from one deduplication and one write: they are the two
-partitions of ``silver_classified``, published as the views ``silver_txns`` and
+Write, audit, publish. ``stage`` writes every layer as a new version that no reader knows: each layer once,
+the next one from the written table, so no stage is run again from the raw files. Counts are observed
+during the writes, but for the conservation check, which reads bronze, silver and rejects each from its
+written table. ``publish`` first runs that check and the declared constraints over the staged tables; only
+when both hold does any published name change. Clean and rejected rows come from one deduplication and one
+write: they are the two partitions of ``silver_classified``, published as the views ``silver_txns`` and
 ``silver_rejects``, or copied into tables of these names on request.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,10 +32,13 @@ from paylake.schemas import (
     WAREHOUSE_TABLES,
 )
 from paylake.sources.files import read_csv
-from paylake.sources.lake import check_replaceable, save_table, save_view
+from paylake.sources.lake import KEPT_VERSIONS, Release, check_replaceable, save_table, save_view
 
 CLEAN = "clean"
 REJECTED = "rejected"
+# Names that a build publishes, and those that become managed tables on request.
+MANAGED = ("silver_txns", "silver_rejects", "gold_account_day", "gold_merchant_hour")
+PUBLISHED = ("bronze_accounts", "bronze_txns", "silver_classified", *MANAGED)
 
 
 @dataclass(frozen=True)
@@ -83,7 +88,17 @@ def silver_storage(classified: DataFrame) -> DataFrame:
     )
 
 
-def run(
+@dataclass
+class Build:
+    """What ``stage`` wrote, waiting to be checked and published."""
+
+    release: Release
+    observed: dict[str, int]
+    layout: tuple[str, ...]
+    silver_tables: bool
+
+
+def stage(
     spark: SparkSession,
     raw_dir: str,
     rules: Rules = Rules(),
@@ -92,76 +107,100 @@ def run(
     silver_by_day: bool = False,
     silver_tables: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-) -> LayerReport:
-    """Build all tables from ``raw_dir/accounts.csv`` and ``raw_dir/txns.csv``.
+) -> Build:
+    """Write a version of all tables from ``raw_dir/accounts.csv`` and ``raw_dir/txns.csv``; publish nothing.
 
     ``check_accounts`` rejects accounts missing from the account file instead of only
     the placeholder account. ``silver_by_day`` lays silver out by account day for
     readers of single days; the rebalance lets Spark split a large day over tasks and
     keeps small days from becoming small files, at the price of one more shuffle.
-    ``silver_tables`` writes silver and rejects as managed tables of their own, for
-    readers that need the files; that scans and writes silver once more. An account list up to
-    ``broadcast_bytes`` is broadcast. Masked views are published for every role.
+    ``silver_tables`` asks ``publish`` for managed tables in place of views. An account list, or a list of
+    unknown ids, up to ``broadcast_bytes`` is broadcast.
 
-    Raises ``ValueError`` when rows are lost or invented on the way to silver, or when
-    a silver name is taken by the other kind of object.
+    Raises ``ValueError`` when a published name is taken by the other kind of object.
     """
-
-    def named(table: str) -> str:
-        return f"{database}.{table}" if database else table
-
-    for table in ("silver_txns", "silver_rejects"):
-        check_replaceable(spark, named(table), as_view=not silver_tables)
+    release = Release(spark, database)
+    for table in PUBLISHED:
+        check_replaceable(spark, release.named(table), as_view=not (silver_tables and table in MANAGED))
 
     accounts = bronze.land(read_csv(spark, f"{raw_dir}/accounts.csv", RAW_ACCOUNTS), ACCOUNT_COLUMNS)
-    account_counts = save_table(accounts, named("bronze_accounts"))
+    account_counts = release.stage(accounts, "bronze_accounts")
     payments = bronze.land(read_csv(spark, f"{raw_dir}/txns.csv", RAW_PAYMENTS), PAYMENT_COLUMNS)
-    save_table(payments, named("bronze_txns"))
+    release.stage(payments, "bronze_txns")
 
     # The fingerprint is most of a row's bytes and follows from the other columns, so
     # it stays out of the deduplication shuffle and is computed again behind it.
-    unique = distinct_payments(spark.table(named("bronze_txns")).drop("_row_hash"))
+    landed = release.read("bronze_txns")
+    unique = distinct_payments(landed.drop("_row_hash"))
     parsed = quarantine.parse(bronze.with_fingerprint(unique, PAYMENT_COLUMNS))
     unknown = None
     if check_accounts:
-        master = spark.table(named("bronze_accounts"))
-        parsed = flag_known_accounts(parsed, master, broadcast_bytes)
+        master = release.read("bronze_accounts")
+        parsed = flag_known_accounts(parsed, master, broadcast_bytes, ids=landed)
         unknown = not_in_master()
     storage = silver_storage(quarantine.classify(parsed, rules, unknown))
-    layout = ["disposition"]
+    layout = ("disposition",)
     if silver_by_day:
-        layout = ["disposition", "account_day"]
+        layout = ("disposition", "account_day")
         storage = storage.hint("rebalance", *layout)
-    save_table(storage, named("silver_classified"), partition_by=layout)
+    release.stage(storage, "silver_classified", partition_by=layout)
     silver_columns = ", ".join([*PAYMENT_COLUMNS, *LINEAGE_COLUMNS, "account_day"])
-    parts = {
-        "silver_txns": f"SELECT {silver_columns} FROM {named('silver_classified')} "
-        f"WHERE disposition = '{CLEAN}'",
-        "silver_rejects": "SELECT txn_id, account_id, merchant_id, raw_txn_ts AS txn_ts, "
-        f"reject_reason, _rejected_at FROM {named('silver_classified')} "
-        f"WHERE disposition = '{REJECTED}'",
-    }
-    for table, select in parts.items():
-        if silver_tables:
-            save_table(spark.sql(select), named(table))
-        else:
-            save_view(spark, named(table), select)
-
-    silver = spark.table(named("silver_txns"))
-    day_counts = save_table(
+    classified = release.staged("silver_classified")
+    release.define("silver_txns", f"SELECT {silver_columns} FROM {classified} WHERE disposition = '{CLEAN}'")
+    release.define(
+        "silver_rejects",
+        "SELECT txn_id, account_id, merchant_id, raw_txn_ts AS txn_ts, "
+        f"reject_reason, _rejected_at FROM {classified} WHERE disposition = '{REJECTED}'",
+    )
+
+    silver = release.read("silver_txns")
+    day_counts = release.stage(
         days.account_day(silver, rules),
-        named("gold_account_day"),
+        "gold_account_day",
         metrics={
             "device_bursts": F.count_if("is_device_burst"),
             "amount_spikes": F.count_if("is_amount_spike"),
         },
     )
-    hour_counts = save_table(merchant_hour(silver), named("gold_merchant_hour"))
+    hour_counts = release.stage(merchant_hour(silver), "gold_merchant_hour")
+    observed = {
+        "bronze_accounts": account_counts["rows"],
+        "account_days": day_counts["rows"],
+        "device_bursts": day_counts["device_bursts"],
+        "amount_spikes": day_counts["amount_spikes"],
+        "merchant_hours": hour_counts["rows"],
+    }
+    return Build(release, observed, layout, silver_tables)
+
 
-    publish_views(spark, named)
-    counts = verify(spark, database)
+def publish(build: Build, keep: int = KEPT_VERSIONS, published: str | None = None) -> LayerReport:
+    """Check the staged tables, then switch the published names to them.
+
+    Raises ``ValueError`` when rows were lost, invented or exchanged on the way to silver, or when a
+    warehouse table breaks its declared keys, NOT NULLs or lengths. Published names then
+    show what they showed before, and the staged tables stay for inspection until a later build
+    removes them or ``build.release.discard()`` does. With views each name changes in one step. Managed tables
+    are copied from the staged ones after the check, and readers of a name fail during its copy.
+
+    ``published`` names a second database for readers: one view of each warehouse table for all roles, whose
+    ids are masked by the role that the reading user has then. See ``governance.publish_guarded``.
+    """
+    release, spark = build.release, build.release.spark
+    counts = _conserved(release.read)
+    audited = governance.audit_warehouse({declared.name: release.read(declared.name) for declared in WAREHOUSE_TABLES})
+    broken = [row.asDict() for row in audited.collect() if any(row[name] for name in governance.VIOLATIONS)]
+    if broken:
+        raise ValueError(f"declared constraints are broken: {broken}")
+    if build.silver_tables:
+        for table in MANAGED:
+            save_table(release.read(table), release.named(table))
+            del release.views[table]
+            spark.sql(f"DROP TABLE IF EXISTS {release.staged(table)}")
+    release.publish(keep)
+    publish_views(spark, release.named)
+    if published:
+        governance.publish_guarded(spark, published, release.database or spark.catalog.currentDatabase())
     return LayerReport(
-        bronze_accounts=account_counts["rows"],
         bronze_txns=counts["bronze_rows"],
         duplicates=counts["duplicate_rows"],
         malformed_line=counts["malformed_line_rows"],
@@ -171,13 +210,23 @@ def run(
         missing_txn_id=counts["missing_id_rows"],
         silver_rejects=counts["reject_rows"],
         silver_txns=counts["clean_rows"],
-        account_days=day_counts["rows"],
-        device_bursts=day_counts["device_bursts"],
-        amount_spikes=day_counts["amount_spikes"],
-        merchant_hours=hour_counts["rows"],
+        **build.observed,
     )
 
 
+def run(
+    spark: SparkSession,
+    raw_dir: str,
+    rules: Rules = Rules(),
+    database: str | None = None,
+    keep: int = KEPT_VERSIONS,
+    published: str | None = None,
+    **options,
+) -> LayerReport:
+    """Stage all tables, check them and publish them; see ``stage`` for the options and ``publish`` for the checks."""
+    return publish(stage(spark, raw_dir, rules, database, **options), keep, published)
+
+
 def view_name(table: str, role: str) -> str:
     """The published view of a table for a role; roles without one read the masked view."""
     known = role if role == governance.CLEAR_ROLE else governance.ANALYST_ROLE
@@ -193,11 +242,11 @@ def publish_views(spark: SparkSession, named) -> None:
 
 
 def verify(spark: SparkSession, database: str | None = None) -> dict:
-    """Count the written tables and raise ``ValueError`` unless no row was lost or invented."""
+    """Count the published tables and raise ``ValueError`` unless no row was lost, invented or exchanged."""
+    return _conserved(lambda table: spark.table(f"{database}.{table}" if database else table))
 
-    def read(table: str) -> DataFrame:
-        return spark.table(f"{database}.{table}" if database else table)
 
+def _conserved(read: Callable[[str], DataFrame]) -> dict:
     checked = reconcile.reconciliation(read("bronze_txns"), read("silver_txns"), read("silver_rejects"))
     counts = checked.first().asDict()
     if not counts["balanced"]:

@@ -217,6 +217,14 @@ SQL: dict[str, str] = {
     "raw_payments": over("raw", f"SELECT {RAW_COLUMNS} FROM raw"),
     "raw_payments_union_all": over("raw", f"SELECT {RAW_COLUMNS} FROM raw"),
     "csv_roundtrip": over("raw", f"SELECT {RAW_COLUMNS} FROM raw"),
+    "csv_quoted_records": over(
+        "raw",
+        f"""SELECT {RAW_COLUMNS} FROM (SELECT * REPLACE (
+              CASE WHEN CAST(substr(txn_id, 2, 8) AS BIGINT) % 5 = 1
+                   THEN device_id || chr(10) || 'old, "spare"' || chr(10) ELSE device_id END AS device_id,
+              CASE WHEN CAST(substr(txn_id, 2, 8) AS BIGINT) % 7 = 2
+                   THEN '"' || chr(10) || chr(10) || merchant_id ELSE merchant_id END AS merchant_id) FROM raw)""",
+    ),
     "csv_inferred_counts": over("raw", "SELECT count(*) AS bronze_txns FROM raw"),
     "bronze_row_hash": over(
         "raw", f"SELECT *, sha256(concat_ws('||', {RAW_COLUMNS})) AS _row_hash FROM raw"

@@ -53,6 +53,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     build.add_argument("--check-accounts", action="store_true")
     build.add_argument("--silver-by-day", action="store_true")
     build.add_argument("--silver-tables", action="store_true")
+    build.add_argument("--line-records", action="store_true", help="no quoted field holds a line break")
     build.add_argument("--published", metavar="DB", help="database of views masked by the reader's role")
     build.add_argument("--keep-versions", type=int, default=KEPT_VERSIONS)
     build.add_argument("--broadcast-bytes", type=int, default=BROADCAST_BYTES)
@@ -89,6 +90,7 @@ def main(argv: list[str] | None = None) -> None:
             silver_by_day=args.silver_by_day,
             silver_tables=args.silver_tables,
             broadcast_bytes=args.broadcast_bytes,
+            line_records=args.line_records,
         )
         print(json.dumps(counts.as_dict(), indent=2))
     if args.report:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paylake.functions.text import row_fingerprint
 from paylake.schemas import MALFORMED
+from paylake.sources.quoted import FILE
 
 
 def with_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -18,7 +19,7 @@ def land(scan: DataFrame, columns: Sequence[str]) -> DataFrame:
     """File scan to bronze: raw columns, source file, ingest time, fingerprint, malformed text."""
     return scan.select(
         *columns,
-        F.col("_metadata.file_path").alias("_source_file"),
+        F.col(FILE if FILE in scan.columns else "_metadata.file_path").alias("_source_file"),
         F.current_timestamp().alias("_ingested_at"),
         row_fingerprint(columns).alias("_row_hash"),
         MALFORMED,

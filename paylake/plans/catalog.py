@@ -39,6 +39,7 @@ from paylake.sources import payments
 from paylake.sources.files import read_csv, read_csv_inferred, table, write_csv
 from paylake.sources.lake import scratch_table
 from paylake.sources.lines import broken_lines
+from paylake.sources.quoted import read_quoted_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,6 +119,15 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, RAW_PAYMENTS).filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
+@query
+def csv_quoted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments whose devices and merchants have line breaks, commas and quotes in them, written, landed and read."""
+    path = scratch_path(spark, "payments-csv")
+    write_csv(payments.with_line_breaks(_raw(spark, sf_dir)), path)
+    landed = read_quoted_csv(spark, path, RAW_PAYMENTS).filter(F.col(MALFORMED).isNull())
+    return scratch_table(spark, landed.select(*PAYMENT_COLUMNS), "landed")
+
+
 @query
 def csv_inferred_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments written as CSV and counted through a scan with inferred types."""

@@ -33,6 +33,7 @@ from paylake.schemas import (
 )
 from paylake.sources.files import read_csv
 from paylake.sources.lake import KEPT_VERSIONS, Release, check_replaceable, save_table, save_view
+from paylake.sources.quoted import read_quoted_csv
 
 CLEAN = "clean"
 REJECTED = "rejected"
@@ -107,6 +108,7 @@ def stage(
     silver_by_day: bool = False,
     silver_tables: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    line_records: bool = False,
 ) -> Build:
     """Write a version of all tables from ``raw_dir/accounts.csv`` and ``raw_dir/txns.csv``; publish nothing.
 
@@ -115,17 +117,19 @@ def stage(
     readers of single days; the rebalance lets Spark split a large day over tasks and
     keeps small days from becoming small files, at the price of one more shuffle.
     ``silver_tables`` asks ``publish`` for managed tables in place of views. An account list, or a list of
-    unknown ids, up to ``broadcast_bytes`` is broadcast.
+    unknown ids, up to ``broadcast_bytes`` is broadcast. ``line_records`` says that no quoted field holds a
+    line break, which saves the pass over the files that looks for them.
 
     Raises ``ValueError`` when a published name is taken by the other kind of object.
     """
+    scan = read_csv if line_records else read_quoted_csv
     release = Release(spark, database)
     for table in PUBLISHED:
         check_replaceable(spark, release.named(table), as_view=not (silver_tables and table in MANAGED))
 
-    accounts = bronze.land(read_csv(spark, f"{raw_dir}/accounts.csv", RAW_ACCOUNTS), ACCOUNT_COLUMNS)
+    accounts = bronze.land(scan(spark, f"{raw_dir}/accounts.csv", RAW_ACCOUNTS), ACCOUNT_COLUMNS)
     account_counts = release.stage(accounts, "bronze_accounts")
-    payments = bronze.land(read_csv(spark, f"{raw_dir}/txns.csv", RAW_PAYMENTS), PAYMENT_COLUMNS)
+    payments = bronze.land(scan(spark, f"{raw_dir}/txns.csv", RAW_PAYMENTS), PAYMENT_COLUMNS)
     release.stage(payments, "bronze_txns")
 
     # The fingerprint is most of a row's bytes and follows from the other columns, so

@@ -86,3 +86,11 @@ def account_master(ids: DataFrame, column: str) -> DataFrame:
         "secondary_device": padded_id("DEV9", 6, number),
     }
     return ids.select(*[fields[name].alias(name) for name in ACCOUNT_COLUMNS])
+
+
+def with_line_breaks(raw: DataFrame) -> DataFrame:
+    """Payments with line breaks, commas and quotes inside some values, as free text fields have them."""
+    number = F.substring("txn_id", 2, 8).cast("long")
+    device = F.when(number % 5 == 1, F.concat("device_id", F.lit('\nold, "spare"\n'))).otherwise(F.col("device_id"))
+    merchant = F.when(number % 7 == 2, F.concat(F.lit('"\n\n'), "merchant_id")).otherwise(F.col("merchant_id"))
+    return raw.withColumns({"device_id": device, "merchant_id": merchant})

@@ -1,0 +1,109 @@
+"""CSV records over several lines and several splits against one reader of the whole file."""
+
+from __future__ import annotations
+
+import csv
+import io
+import random
+from collections import Counter
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from paylake.plans import medallion
+from paylake.rules import EVENT_RULES
+from paylake.schemas import MALFORMED, text_schema
+from paylake.sources.files import table, write_csv
+from paylake.sources.payments import account_master, raw_payments, with_line_breaks
+from paylake.sources.quoted import FILE, begins_inside, read_quoted_csv, split_quotes
+
+SCHEMA = text_schema(["a", "b", "c"])
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are cut every few dozen bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.unset(f"spark.sql.files.{name}")
+
+
+def write(path, rows, end="\n"):
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator=end, quoting=csv.QUOTE_MINIMAL)
+    writer.writerow(["a", "b", "c"])
+    writer.writerows(rows)
+    path.write_bytes(out.getvalue().encode())
+
+
+def found(df):
+    return Counter((r["a"], r["b"], r["c"], r[MALFORMED]) for r in df.collect())
+
+
+def rows_of(seed, n=60):
+    rng = random.Random(seed)
+    bits = ["x", "\n", '"', ",", "\r\n", "word ", "ü中", "\n\n", " "]
+    value = lambda: "".join(rng.choices(bits, k=rng.choice([0, 1, 3, 30]))) + rng.choice(["", "z"])
+    return [(f"k{i}", value(), f"e{i}") for i in range(n)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_records_equal_those_of_one_reader_over_each_file(spark, small_splits, tmp_path, seed, end):
+    expected = Counter()
+    for number in range(3):
+        rows = rows_of(seed * 10 + number)
+        write(tmp_path / f"{number}.csv", rows, end)
+        expected.update((a, b or None, c, None) for a, b, c in rows)
+    df = read_quoted_csv(spark, str(tmp_path), SCHEMA)
+    assert split_quotes(spark, str(tmp_path)).count() > 30
+    assert found(df) == expected
+    assert {r[FILE].rsplit("/")[-1] for r in df.select(FILE).distinct().collect()} == {"0.csv", "1.csv", "2.csv"}
+
+
+def test_a_record_longer_than_many_splits(spark, small_splits, tmp_path):
+    long = "\n".join(f'line {i}, "quoted"' for i in range(200))
+    rows = [("k1", "one", "e"), ("k2", long, "e"), ("k3", "\n", "e"), ("k4", long, long), ("k5", "end", "e")]
+    write(tmp_path / "a.csv", rows)
+    assert found(read_quoted_csv(spark, str(tmp_path), SCHEMA)) == Counter((*row, None) for row in rows)
+
+
+def test_files_of_one_line_records_are_left_to_the_plain_scan(spark, tmp_path):
+    write(tmp_path / "a.csv", [("k", 'with "quotes", and commas', "e")])
+    assert begins_inside(spark, str(tmp_path)) is None
+    df = read_quoted_csv(spark, str(tmp_path), SCHEMA)
+    assert FILE not in df.columns and "Python" not in df._jdf.queryExecution().toString()
+    assert found(df) == Counter([("k", 'with "quotes", and commas', "e", None)])
+
+
+def test_malformed_blank_and_unclosed_records(spark, small_splits, tmp_path):
+    body = 'a,b,c\nk1,"x\ny",e\n\n   \nk2,short\nk3,"x\n",e,more\nk4,x,e\nk5,"never\nclosed,e\nk6,x,e\n'
+    (tmp_path / "a.csv").write_text(body)
+    rows = read_quoted_csv(spark, str(tmp_path), SCHEMA).collect()
+    good = {(r["a"], r["b"], r["c"]) for r in rows if r[MALFORMED] is None}
+    assert {("k1", "x\ny", "e"), ("k4", "x", "e")} == good
+    assert {r[MALFORMED] for r in rows} - {None} == {"k2,short", 'k3,"x\n",e,more', 'k5,"never\nclosed,e\nk6,x,e\n'.rstrip("\n")}
+
+
+def test_another_header_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,c,b\nk1,"x\ny",e\n')
+    with pytest.raises(PySparkException, match="declared columns"):
+        read_quoted_csv(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_a_build_keeps_values_with_line_breaks(spark, tmp_path):
+    small = "/root/testdata/sf0.001"
+    raw = with_line_breaks(raw_payments(table(spark, small, "events")))
+    write_csv(raw, str(tmp_path / "txns.csv"))
+    write_csv(account_master(table(spark, small, "customer"), "c_custkey"), str(tmp_path / "accounts.csv"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS quoted_lake")
+    report = medallion.run(spark, str(tmp_path), EVENT_RULES, "quoted_lake")
+    assert report.malformed_line == 0 and report.balanced
+    landed = spark.table("quoted_lake.bronze_txns")
+    assert landed.filter("_source_file NOT LIKE '%txns.csv%'").isEmpty()
+    names = raw.columns
+    assert landed.select(names).exceptAll(raw).isEmpty() and raw.exceptAll(landed.select(names)).isEmpty()
+    assert not spark.table("quoted_lake.silver_txns").filter(F.col("device_id").contains("\n")).isEmpty()

@@ -351,6 +351,7 @@ SQL: dict[str, str] = {
            FROM gold""",
     ),
     "account_day_gold": over("gold", f"SELECT {GOLD_COLUMNS} FROM gold"),
+    "gold_late_days": over("gold", f"SELECT {GOLD_COLUMNS} FROM gold"),
     "merchant_hour_gold": over("merchant_gold", f"SELECT {MERCHANT_COLUMNS} FROM merchant_gold"),
     "supplier_day_baseline": """
         WITH daily AS (

@@ -21,7 +21,7 @@ from paylake.operators import account_day as days
 from paylake.operators import bronze, governance, quarantine, reconcile
 from paylake.operators.dedup import distinct_payments, first_per_key
 from paylake.operators.merchant_hour import merchant_hour
-from paylake.plans import medallion, questions
+from paylake.plans import late_days, medallion, questions
 from paylake.rules import EVENT_RULES as RULES
 from paylake.schemas import (
     ACCOUNT_COLUMNS,
@@ -336,6 +336,21 @@ def account_day_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _account_day(spark, sf_dir)
 
 
+@query
+def gold_late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account days built without some payments of two days, then brought up to date for these days."""
+    silver = scratch_table(spark, _silver(spark, sf_dir), "silver")
+    day, number = F.dayofmonth("account_day"), F.substring("txn_id", 2, 8).cast("long")
+    late = day.isin(9, 17) & (number % 3 == 0)
+    database = f"paylake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'lake')}'")
+    name = f"{database}.gold_account_day"
+    late_days.build_days(spark, silver.filter(~late), name, RULES)
+    changed = [row["account_day"] for row in silver.filter(late).select("account_day").distinct().collect()]
+    late_days.update_days(spark, silver, name, changed, RULES)
+    return spark.table(name)
+
+
 @query
 def merchant_hour_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merchant_hour(spark, sf_dir)

@@ -1,0 +1,106 @@
+"""Day-wise updates of the account days against full builds."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+
+import pytest
+
+from paylake.plans.late_days import DAY, build_days, update_days
+from paylake.rules import Rules
+
+RULES = Rules(baseline_days=3, min_prior_days=2, spike_factor=2)
+START = date(2024, 1, 1)
+SCHEMA = "account_id string, account_day date, amount decimal(18,2), device_id string"
+
+
+def silver_of(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def rows_of(seed, accounts=12, n=400):
+    from decimal import Decimal
+
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        account = "hot" if rng.random() < 0.3 else f"A{rng.randrange(accounts)}"
+        day = START + timedelta(rng.randrange(60))
+        rows.append((account, day, Decimal(rng.randrange(1, 50000)) / 100, f"D{rng.randrange(4)}"))
+    return rows
+
+
+def same(spark, name, silver):
+    build_days(spark, silver, "late.expected", RULES)
+    left, right = spark.table(name), spark.table("late.expected")
+    assert left.schema == right.schema
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def files(spark, name):
+    """Files by day."""
+    from pyspark.sql import functions as F
+
+    found = {}
+    for row in spark.table(name).select(DAY, F.col("_metadata.file_path").alias("path")).distinct().collect():
+        found.setdefault(row[DAY], set()).add(row["path"])
+    return found
+
+
+@pytest.fixture(autouse=True)
+def database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS late")
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_updates_equal_full_builds(spark, seed):
+    """Payments arrive late, are taken back, change, and one day loses all of its payments."""
+    rng = random.Random(seed)
+    rows = rows_of(seed)
+    name = f"late.gold_{seed}"
+    build_days(spark, silver_of(spark, rows), name, RULES)
+    for step in range(3):
+        changed = [START + timedelta(rng.randrange(60)) for _ in range(2)]
+        if step == 2:
+            rows = [row for row in rows if row[1] != changed[0]]
+        else:
+            rows = [row for row in rows if row[1] not in changed or rng.random() < 0.7]
+            rows += [row for row in rows_of(seed * 100 + step, n=600) if row[1] in changed]
+        silver = silver_of(spark, rows)
+        update = update_days(spark, silver, name, changed, RULES)
+        assert same(spark, name, silver)
+        if step == 2:
+            assert update.emptied == (changed[0],)
+
+
+def test_only_days_that_differ_are_written(spark):
+    from decimal import Decimal
+
+    every = [(f"A{a}", START + timedelta(d), Decimal(10), "D") for a in range(3) for d in range(40)]
+    build_days(spark, silver_of(spark, every), "late.few", RULES)
+    before = files(spark, "late.few")
+    tenth = START + timedelta(10)
+    silver = silver_of(spark, [*every, ("A1", tenth, Decimal(25), "E")])
+    update = update_days(spark, silver, "late.few", [tenth], RULES)
+    # The day itself and the baselines of the next three active days.
+    assert update.accounts == 1 and update.written == tuple(tenth + timedelta(i) for i in range(4))
+    after = files(spark, "late.few")
+    assert {day for day in after if after[day] != before[day]} == set(update.written)
+    assert same(spark, "late.few", silver)
+
+
+def test_nothing_to_do(spark):
+    rows = rows_of(9)
+    build_days(spark, silver_of(spark, rows), "late.same", RULES)
+    before = files(spark, "late.same")
+    silver = silver_of(spark, rows)
+    assert update_days(spark, silver, "late.same", [], RULES).written == ()
+    assert update_days(spark, silver, "late.same", [rows[0][1], date(2030, 1, 1)], RULES).written == ()
+    assert files(spark, "late.same") == before
+
+
+def test_silver_by_day_is_read_for_the_changed_days_only(spark):
+    silver_of(spark, rows_of(4)).write.partitionBy(DAY).mode("overwrite").saveAsTable("late.silver")
+    plan = spark.table("late.silver").filter("account_day IN (DATE '2024-01-05')")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "account_day" in plan.split("PartitionFilters: [")[1][:80]

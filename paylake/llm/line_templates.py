@@ -4,6 +4,10 @@ A line goes down the tree by its number of tokens and its leading tokens; tokens
 variable from the start. Inside a leaf, a later token stays part of the template where enough
 documents share it at that place, and is generalised to a variable field where they do not. Lines
 of templates that recur across documents are dropped, but for the first such line.
+
+What makes a template recur is its constant mass: the weight of its constant tokens times its documents.
+Numbers do not count against it, so forms and logs full of them are found; words that vary do, so prose
+that only begins alike is not.
 """
 
 from __future__ import annotations
@@ -13,28 +17,32 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.llm import arrow
 from paylake.llm.ordering import small_side, stored
 
 FIELD = "<*>"
+# Tokens are what stands between white space; these are the characters that Unicode counts as such.
+SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
 
 @dataclass(frozen=True)
 class Rules:
     depth: int = 4  # leading tokens of the tree's path
-    min_tokens: int = 3  # shorter lines are never dropped
-    min_docs: int = 3  # documents that share a token or a template
-    min_mass: int = 100  # documents times tokens of a recurring template
-    min_constant: float = 0.8  # share of a template's tokens that are no variable fields
-    min_kept: float = 0.2  # a document left with a smaller share of its tokens is dropped as a copy
+    token_chars: int = 8  # a token weighs one for each of so many characters, and one at least
+    min_weight: int = 3  # lines of less weight are never dropped
+    min_docs: int = 2  # documents that share a token or a template
+    min_mass: int = 100  # documents times weight of the constant tokens of a recurring template
+    min_constant: float = 0.8  # share of constant tokens among a template's tokens without digits
+    min_constant_weight: int = 2  # weight of a template's constant tokens
 
 
-FORMS = pa.schema(
-    [("doc_id", pa.int64()), ("content", pa.string()), ("line_no", pa.int32()), ("leaf", pa.int64()), ("form", pa.string())]
+LEAVES = pa.schema(
+    [("doc_id", pa.int64()), ("content", pa.string()), ("line_no", pa.int32()), ("leaf", pa.int64()), ("weight", pa.int32())]
 )
+FORMS = pa.schema([*LEAVES, pa.field("form", pa.string())])
 _DIGIT = re.compile("[0-9]")
 
 
@@ -47,123 +55,139 @@ def _masked(tokens: list[str]) -> str:
 
 
 def _lines(docs: DataFrame, rules: Rules, forms: bool) -> DataFrame:
-    """Lines that are long enough, with a hash of their leaf; with ``forms`` also their masked tokens.
+    """Lines that weigh enough, with a hash of their leaf; with ``forms`` also their masked tokens.
 
     A document is its id and the digest of its text.
     """
+    schema = FORMS if forms else LEAVES
 
     def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, numbers, leaves, masked = [], [], [], []
-        digest = xxhash.xxh64_intdigest
+        rows, numbers, leaves, weights, masked = [], [], [], [], []
+        digest, chars = xxhash.xxh64_intdigest, rules.token_chars
         for i, text in enumerate(batch.column("text").to_pylist()):
             for number, line in enumerate(text.split("\n") if text else ()):
-                tokens = [token for token in line.split(" ") if token]
-                if len(tokens) < rules.min_tokens:
+                tokens = line.split()
+                weight = len(tokens)
+                # Few lines have a token that weighs more than one.
+                if len(line) >= 2 * chars and len(max(tokens, key=len, default="")) >= 2 * chars:
+                    weight = sum(max(1, len(token) // chars) for token in tokens)
+                if weight < rules.min_weight:
                     continue
                 lead = _masked(tokens[: rules.depth])
                 rows.append(i)
                 numbers.append(number)
                 leaves.append(digest(f"{len(tokens)} {lead}") - (1 << 63))
+                weights.append(weight)
                 if forms:
                     masked.append(_masked(tokens))
-        schema = FORMS if forms else FORMS.remove(4)
         return arrow.table(
             schema,
             doc_id=batch.column("doc_id").take(pa.array(rows, pa.int64())),
             content=batch.column("content").take(pa.array(rows, pa.int64())),
             line_no=numbers,
             leaf=leaves,
+            weight=weights,
             form=masked,
         )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("content"), "text")
-    return arrow.map_slices(source, parse, FORMS if forms else FORMS.remove(4))
+    return arrow.map_slices(source, parse, schema)
 
 
 def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Every line (doc_id, content, line_no) of a recurring template, with ``template`` and ``first``.
 
-    Leaves of fewer than ``min_docs`` documents are left out before any token is looked at, by
-    a hash, which at worst lets a few more lines through. Equal lines are merged first, so a line
-    that a third of all documents share is counted by partial sums.
+    Leaves whose documents and heaviest line could not reach ``min_mass`` are left out before any token is
+    looked at. A leaf is known by 64 bits of a hash of its path. Equal lines are merged first, so a line
+    that a third of all documents share is counted by partial sums. Tokens are counted and sent back by
+    leaf, place and token; a leaf of very many forms is spread over its tokens, and a token that
+    most of them share is split by AQE, as both sides of that join are written before.
     """
-    shared = (
+    leaves = (
         _lines(docs, rules, False)
-        .select("leaf", "doc_id", "content")
-        .distinct()
+        .groupBy("leaf", "doc_id", "content")
+        .agg(F.max("weight").alias("weight"))
         .groupBy("leaf")
-        .count()
-        .where(F.col("count") >= rules.min_docs)
+        .agg(F.count(F.lit(1)).alias("n_docs"), F.max("weight").alias("weight"))
+        .where((F.col("n_docs") >= rules.min_docs) & (F.col("n_docs") * F.col("weight") >= rules.min_mass))
         .select("leaf")
     )
-    shared = small_side(stored(spark, shared, "leaves"), 64)
-    lines = _lines(docs, rules, True).join(shared, "leaf", "left_semi").drop("leaf")
+    shared = small_side(stored(spark, leaves, "leaves"), F.lit(64))
+    lines = _lines(docs, rules, True).join(shared, "leaf", "left_semi").drop("weight")
     candidates = stored(spark, lines, "lines")
-    forms = candidates.select("form", "doc_id", "content").distinct().groupBy("form").count()
-    tokens = F.split("form", " ")
-    leaf = F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, rules.depth))
-    forms = forms.select("form", F.col("count").alias("docs"), leaf.alias("leaf"))
+    forms = candidates.select("leaf", "form", "doc_id", "content").distinct().groupBy("leaf", "form").count()
+    forms = forms.select("leaf", "form", F.col("count").alias("docs"))
     forms = stored(spark, forms.withColumn("form_no", F.monotonically_increasing_id()), "forms")
     # Exploded tokens carry numbers of their form and leaf, not the texts.
-    leaves = forms.groupBy("leaf").agg(F.min("form_no").alias("leaf_no"))
-    places = forms.join(leaves, "leaf").select(
-        "leaf_no", "form_no", "docs", F.posexplode(tokens).alias("place", "token")
-    )
+    places = forms.select("leaf", "form_no", "docs", F.posexplode(F.split("form", " ")).alias("place", "token"))
     # The leading tokens are the path; places behind them are constant where documents agree.
+    behind = places.where((F.col("place") >= rules.depth) & (F.col("token") != FIELD))
     constant = (
-        places.where(F.col("place") >= rules.depth)
-        .groupBy("leaf_no", "place", "token")
+        behind.groupBy("leaf", "place", "token")
         .agg(F.sum("docs").alias("n"))
         .where(F.col("n") >= rules.min_docs)
         .drop("n")
         .withColumn("constant", F.lit(True))
     )
-    field = F.when(F.col("constant") | (F.col("place") < rules.depth), F.col("token")).otherwise(FIELD)
-    general = (
-        places.join(constant, ["leaf_no", "place", "token"], "left")
+    constant = stored(spark, constant, "constant")
+    # Only words that vary come back; a form is its template but for them.
+    varying = (
+        behind.join(constant, ["leaf", "place", "token"], "left")
+        .where(F.col("constant").isNull())
         .groupBy("form_no")
-        .agg(F.array_sort(F.collect_list(F.struct("place", field.alias("token")))).alias("parts"))
-        .select("form_no", F.col("parts.token").alias("template"))
+        .agg(F.collect_set("place").alias("varying"))
+    )
+    tokens = F.transform(
+        F.split("form", " "),
+        lambda token, place: F.when(F.array_contains("varying", place), FIELD).otherwise(token),
+    )
+    general = forms.join(stored(spark, varying, "varying"), "form_no", "left").select(
+        "leaf",
+        "form",
+        F.coalesce(F.size("varying"), F.lit(0)).alias("n_varying"),
+        F.when(F.col("varying").isNull(), F.split("form", " ")).otherwise(tokens).alias("template"),
     )
-    constants = F.size("template") - F.size(F.filter("template", lambda t: t == FIELD))
-    general = general.where(constants >= F.size("template") * rules.min_constant).select(
-        "form_no", F.concat_ws(" ", "template").alias("template"), F.size("template").alias("n_tokens")
+    kept = F.filter("template", lambda token: token != FIELD)
+    heavy = F.aggregate(
+        kept, F.lit(0), lambda sum_, token: sum_ + F.greatest(F.lit(1), F.floor(F.length(token) / rules.token_chars).cast("int"))
     )
-    general = general.join(forms.select("form_no", "form"), "form_no").drop("form_no")
-    parsed = stored(spark, candidates.join(general, "form").drop("form"), "parsed")
+    general = (
+        general.withColumn("n_constant", F.size(kept))
+        .where(F.col("n_constant") >= (F.col("n_constant") + F.col("n_varying")) * rules.min_constant)
+        .select("leaf", "form", F.array_join("template", " ").alias("template"), heavy.alias("weight"))
+        .where(F.col("weight") >= rules.min_constant_weight)
+    )
+    parsed = candidates.join(stored(spark, general, "general"), ["leaf", "form"]).drop("form", "leaf")
+    parsed = stored(spark, parsed, "parsed")
     place = F.struct("doc_id", "content", "line_no")
     recurring = (
         parsed.groupBy("template", "doc_id", "content")
-        .agg(F.min("line_no").alias("line_no"), F.max("n_tokens").alias("n_tokens"))
+        .agg(F.min("line_no").alias("line_no"), F.max("weight").alias("weight"))
         .groupBy("template")
-        .agg(F.count(F.lit(1)).alias("n_docs"), F.max("n_tokens").alias("n_tokens"), F.min(place).alias("keeper"))
-        .where((F.col("n_docs") >= rules.min_docs) & (F.col("n_docs") * F.col("n_tokens") >= rules.min_mass))
+        .agg(F.count(F.lit(1)).alias("n_docs"), F.max("weight").alias("weight"), F.min(place).alias("keeper"))
+        .where((F.col("n_docs") >= rules.min_docs) & (F.col("n_docs") * F.col("weight") >= rules.min_mass))
     )
-    recurring = small_side(stored(spark, recurring.select("template", "keeper"), "recurring"), 1024)
-    return parsed.drop("n_tokens").join(recurring, "template").select(
+    recurring = stored(spark, recurring.select("template", "keeper"), "recurring")
+    recurring = small_side(recurring, F.octet_length("template") + 128)
+    return parsed.drop("weight").join(recurring, "template").select(
         "doc_id", "content", "line_no", "template", place.eqNullSafe(F.col("keeper")).alias("first")
     )
 
 
-def _count(text: Column) -> Column:
-    """Number of tokens."""
-    return F.size(F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), ""))
-
-
 def drop_recurring_lines(
     spark: SparkSession, docs: DataFrame, rules: Rules = Rules(), column: str = "dedup"
 ) -> DataFrame:
     """``docs`` with the struct ``column``: ``text`` without the dropped lines, their number and ``kept``.
 
     The first line of a recurring template, by doc_id (nulls first), text digest and place, stays where it
-    is, so copies of a document lose their lines and the first of them does not. ``kept`` is false for
-    a document that is left with less than ``min_kept`` of its tokens. Null texts stay null and empty ones
-    empty, both kept. Rows that repeat an id and its text count as one document and get the same lines
+    is, so copies of a document lose their lines and the first of them does not. ``kept`` is false only for
+    a document that is left with nothing but white space. Null texts stay null, and texts that lose no
+    line stay as they are, empty ones too; all these are kept. Rows that repeat an id and its text count as one document and get the same lines
     dropped. Columns of ``docs`` stay as they are; ``column`` must not be among them.
     """
     found = recurring_lines(spark, docs.select("doc_id", "text"), rules).where(~F.col("first"))
     gone = found.groupBy("doc_id", "content").agg(F.collect_set("line_no").alias("gone"))
-    gone = small_side(stored(spark, gone, "gone"), 256)
+    gone = small_side(stored(spark, gone, "gone"), 128 + 4 * F.size("gone"))
     gone = gone.select(F.struct("doc_id", "content", "gone").alias(column))
     of = lambda name: F.col(f"{column}.{name}")
     # A document without an id or a text joins by null-safe equality.
@@ -173,7 +197,7 @@ def drop_recurring_lines(
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), of("gone"))
     left = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
     text = F.when(F.col(column).isNull(), docs["text"]).otherwise(left)
-    kept = F.col(column).isNull() | (_count(left) >= _count(docs["text"]) * rules.min_kept)
+    kept = F.col(column).isNull() | left.rlike(f"[^{SPACE}]")
     return joined.select(
         *[docs[name] for name in docs.columns],
         F.struct(
@@ -199,25 +223,19 @@ def line_report(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()) ->
 
 def sql(rules: Rules = Rules()) -> str:
     """The same report for DuckDB."""
-    return f"""
+    return rf"""
 WITH docs AS (SELECT DISTINCT doc_id, text, md5(text) AS content FROM documents WHERE text IS NOT NULL),
 split_lines AS (
   SELECT doc_id, content, generate_subscripts(parts, 1) - 1 AS line_no, unnest(parts) AS line
   FROM (SELECT doc_id, content, string_split(text, chr(10)) AS parts FROM docs)),
-lines AS (
-  SELECT doc_id, content, line_no, [CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END
-    for x in string_split(line, ' ') if x <> ''] AS tokens
-  FROM split_lines),
+lines AS (SELECT doc_id, content, line_no, regexp_extract_all(line, '[^{SPACE}]+') AS words FROM split_lines),
 leafed AS (
-  SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:{rules.depth}], ' ') AS leaf
-  FROM lines WHERE len(tokens) >= {rules.min_tokens}),
-shared AS (
-  SELECT leaf FROM (SELECT DISTINCT leaf, doc_id, content FROM leafed)
-  GROUP BY leaf HAVING count(*) >= {rules.min_docs}),
-candidates AS (SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM shared)),
+  SELECT doc_id, content, line_no, tokens, len(tokens) || ' ' || array_to_string(tokens[1:{rules.depth}], ' ') AS leaf
+  FROM (SELECT *, [CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END for x in words] AS tokens FROM lines)
+  WHERE list_sum([greatest(1, length(x) // {rules.token_chars}) for x in words]) >= {rules.min_weight}),
 forms AS (
   SELECT leaf, tokens, count(*) AS docs
-  FROM (SELECT DISTINCT leaf, tokens, doc_id, content FROM candidates) GROUP BY leaf, tokens),
+  FROM (SELECT DISTINCT leaf, tokens, doc_id, content FROM leafed) GROUP BY leaf, tokens),
 places AS (
   SELECT leaf, tokens, docs, generate_subscripts(tokens, 1) - 1 AS place, unnest(tokens) AS token FROM forms),
 constant AS (
@@ -228,13 +246,17 @@ general AS (
     ORDER BY p.place) AS template
   FROM places p LEFT JOIN constant c ON p.leaf = c.leaf AND p.place = c.place AND p.token = c.token
   GROUP BY p.leaf, p.tokens),
+weighed AS (
+  SELECT *, list_sum([greatest(1, length(x) // {rules.token_chars}) for x in template if x <> '{FIELD}']) AS weight,
+    len([x for x in template if x <> '{FIELD}']) AS n_constant, len([x for x in tokens if x <> '{FIELD}']) AS n_words
+  FROM general),
 parsed AS (
-  SELECT c.doc_id, c.content, c.line_no, len(c.tokens) AS n_tokens, array_to_string(g.template, ' ') AS template
-  FROM candidates c JOIN general g ON c.leaf = g.leaf AND c.tokens = g.tokens
-  WHERE len([x for x in g.template if x <> '{FIELD}']) >= len(g.template) * {rules.min_constant}),
+  SELECT c.doc_id, c.content, c.line_no, g.weight, array_to_string(g.template, ' ') AS template
+  FROM leafed c JOIN weighed g ON c.leaf = g.leaf AND c.tokens = g.tokens
+  WHERE g.weight >= {rules.min_constant_weight} AND g.n_constant >= g.n_words * {rules.min_constant}),
 recurring AS (
-  SELECT template FROM (SELECT template, doc_id, content, max(n_tokens) AS n FROM parsed GROUP BY ALL)
-  GROUP BY template HAVING count(*) >= {rules.min_docs} AND count(*) * max(n) >= {rules.min_mass}),
+  SELECT template FROM (SELECT template, doc_id, content, max(weight) AS weight FROM parsed GROUP BY ALL)
+  GROUP BY template HAVING count(*) >= {rules.min_docs} AND count(*) * max(weight) >= {rules.min_mass}),
 ranked AS (
   SELECT doc_id, content, line_no,
     row_number() OVER (PARTITION BY template ORDER BY doc_id NULLS FIRST, content, line_no) AS nth
@@ -242,14 +264,12 @@ ranked AS (
 gone AS (SELECT DISTINCT doc_id, content, line_no FROM ranked WHERE nth > 1),
 rest AS (
   SELECT l.doc_id, l.content, count(*) AS n_lines, count(g.line_no) AS n_dropped,
-    string_agg(CASE WHEN g.line_no IS NULL THEN l.line END, chr(10) ORDER BY l.line_no) AS text,
-    sum(len([x for x in string_split(l.line, ' ') if x <> ''])) AS n_all,
-    sum(CASE WHEN g.line_no IS NULL THEN len([x for x in string_split(l.line, ' ') if x <> '']) ELSE 0 END) AS n_left
+    string_agg(CASE WHEN g.line_no IS NULL THEN l.line END, chr(10) ORDER BY l.line_no) AS text
   FROM split_lines l LEFT JOIN gone g
     ON l.doc_id IS NOT DISTINCT FROM g.doc_id AND l.content = g.content AND l.line_no = g.line_no
   GROUP BY l.doc_id, l.content)
 SELECT d.doc_id, coalesce(r.n_lines, 0)::BIGINT AS n_lines, coalesce(r.n_dropped, 0)::BIGINT AS n_dropped,
-  coalesce(r.n_dropped = 0 OR r.n_left >= r.n_all * {rules.min_kept}, true) AS kept,
+  coalesce(r.n_dropped = 0 OR regexp_matches(coalesce(r.text, ''), '[^{SPACE}]'), true) AS kept,
   CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(r.text, '')) END AS text_sha256
 FROM documents d LEFT JOIN rest r ON d.doc_id IS NOT DISTINCT FROM r.doc_id AND md5(d.text) = r.content
 """

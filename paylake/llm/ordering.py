@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.session import scratch_path
@@ -59,9 +59,10 @@ def numbered(
 BROADCAST_BYTES = 32 << 20
 
 
-def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df``, marked for broadcast if its counted rows prove that it is small.
+def small_side(df: DataFrame, row_bytes: Column) -> DataFrame:
+    """``df``, marked for broadcast if the measured bytes of its rows prove that it is small.
 
     Beyond ``BROADCAST_BYTES`` Spark plans the join as it likes. ``df`` should be a stored table.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    size = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

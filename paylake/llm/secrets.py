@@ -145,10 +145,23 @@ def findings(versions: DataFrame, ledger: DataFrame) -> DataFrame:
     """Spans of every version (path, blob, spans), joined back over content addresses.
 
     A ledger may hold several entries of a blob, one for each set of rules; spans of a kind
-    that was scanned in more than one rule version are those of every version.
+    that was scanned in more than one rule version are those of every version. Versions whose blob the
+    ledger does not hold are left out.
     """
-    spans = ledger.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    return versions.select("path", blob_id(F.col("text")).alias("blob")).join(spans, "blob")
+    known = stored(ledger.sparkSession, ledger.select("blob").distinct(), "known")
+    paths = versions.select("path", blob_id(F.col("text")).alias("blob"))
+    return _with_spans(paths.join(known, "blob", "left_semi"), ledger)
+
+
+def _with_spans(paths: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Spans of each (path, blob); blobs without any have no row in the join and get an empty list.
+
+    Spans are written first: a blob that very many paths share is split by AQE, which needs both
+    sides of the join straight from a shuffle.
+    """
+    found = ledger.where(F.size("spans") > 0).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    joined = paths.join(stored(ledger.sparkSession, found, "spans"), "blob", "left")
+    return joined.withColumn("spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")))
 
 
 def _digest(spans: Column) -> Column:
@@ -175,7 +188,9 @@ def secret_report(spark: SparkSession, docs: DataFrame, ledger: DataFrame | None
     versions = docs.select(F.col("doc_id").alias("path"), "text")
     ledger = empty_ledger(spark) if ledger is None else ledger
     new = stored(spark, scan_unseen(spark, versions, ledger), "ledger")
-    found = findings(versions, ledger.unionByName(new))
+    # Every blob has been scanned by now.
+    paths = versions.select("path", blob_id(F.col("text")).alias("blob"))
+    found = _with_spans(paths, ledger.unionByName(new))
     kinds = [rule.kind for rule in BASE_RULES]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from paylake.llm import arrow, decontamination, line_templates, ordering, secrets
 from paylake.llm.line_templates import Rules
@@ -163,6 +165,82 @@ def test_short_rare_and_diverse_lines_stay_and_copies_go(spark, docs):
     assert [found[i]["kept"] for i in range(60, 100)] == [True] + [False] * 39
 
 
+def left_of(spark, docs, *texts):
+    """What line dedup leaves of each text, and whether the document stays."""
+    found = line_templates.drop_recurring_lines(spark, docs(*texts)).orderBy("doc_id").collect()
+    return [(r["dedup"]["text"], r["dedup"]["kept"]) for r in found]
+
+
+def prose(seed, n):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(n))
+
+
+def test_a_long_passage_in_two_otherwise_different_documents_is_dropped_once(spark, docs):
+    passage = prose(1, 200)
+    texts = [f"{prose(2, 30)}\n{passage}\n{prose(3, 30)}", f"{prose(4, 30)}\n{prose(5, 40)}\n{passage}"]
+    assert left_of(spark, docs, *texts) == [(texts[0], True), ("\n".join(texts[1].split("\n")[:2]), True)]
+
+
+def test_page_and_log_lines_full_of_numbers_are_dropped(spark, docs):
+    texts = [
+        f"Page {i} of {i + 7}\n2024-01-{i % 28 + 1:02} 12:{i % 60:02}:00 user {i} logged in from 10.0.0.{i}\n{prose(i, 20)}"
+        for i in range(100)
+    ]
+    left = left_of(spark, docs, *texts)
+    assert left[0] == (texts[0], True)
+    assert left[1:] == [(prose(i, 20), True) for i in range(1, 100)]
+
+
+def test_a_document_keeps_its_own_line_beside_a_shared_block(spark, docs):
+    block = "\n".join(prose(f"licence {i}", 25) for i in range(30))
+    left = left_of(spark, docs, *[f"{block}\n{prose(i, 29)}" for i in range(20)])
+    assert left == [(f"{block}\n{prose(0, 29)}", True)] + [(prose(i, 29), True) for i in range(1, 20)]
+
+
+def test_tabs_other_spaces_and_scripts_without_spaces(spark, docs):
+    tabs = "\t".join(prose("tab", 34).split())
+    chinese = "".join(chr(0x4E00 + i * 7 % 2000) for i in range(320))
+    wide = "\u3000".join(prose("wide", 40).split()) + "\xa0end"
+    texts = [f"{line}\n{prose(i, 20)}" for i, line in enumerate([tabs] * 100 + [chinese] * 50 + [wide] * 30)]
+    left = left_of(spark, docs, *texts)
+    firsts = {0, 100, 150}
+    assert left == [(t, True) if i in firsts else (prose(i, 20), True) for i, t in enumerate(texts)]
+
+
+def test_prose_that_only_begins_alike_stays(spark, docs):
+    texts = [f"In the year of {prose(i, 11)}" for i in range(120)]
+    assert left_of(spark, docs, *texts) == [(t, True) for t in texts]
+
+
+def test_a_hot_leaf_of_many_forms_equals_sql(spark, docs):
+    """Two thirds of all lines share one path, a third even most of their tokens."""
+    letters = "abcdefghij"
+    name = lambda i: "".join(letters[int(c)] for c in str(i))
+    rows = [f"the user of the system called {name(i)} has signed off at {i}" for i in range(600)]
+    rows += [f"the user of the {prose(i, 8)} {i}" for i in range(600)]
+    rows += [prose(i + 5000, 13) for i in range(600)]
+    rows += [prose("shared", 60)] * 5
+    df = docs(*rows)
+    found = Counter(map(tuple, line_templates.line_report(spark, df).collect()))
+    assert found == in_sql(df)
+    assert sum(r[2] for r in found) == 599 + 4
+
+
+@pytest.mark.parametrize("broadcast_bytes", [ordering.BROADCAST_BYTES, 0])
+def test_small_sides_are_measured(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(ordering, "BROADCAST_BYTES", broadcast_bytes)
+    df = spark.createDataFrame([("x" * 1000,)], "text string")
+    plan = ordering.small_side(df, F.octet_length("text"))._jdf.queryExecution().toString()
+    assert ("ResolvedHint (strategy=broadcast)" in plan) == (broadcast_bytes > 1000)
+
+
+def test_a_blob_that_a_third_of_all_paths_share(spark, docs):
+    texts = ["token=abcdefgh1 is shared"] * 400 + ["nothing to see"] * 400 + [f"secret: own{i:06}" for i in range(400)]
+    found = Counter(tuple(r)[:5] for r in secrets.secret_report(spark, docs(*texts)).collect())
+    assert found == Counter(secret_row(i, t) for i, t in enumerate(texts))
+
+
 ASSIGN = re.compile(
     r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )

@@ -153,23 +153,40 @@ def test_held_out_accuracy(spark):
 
 
 def test_word_ratios_back_off_to_the_corpus_and_leave_out_chance(spark, docs):
-    texts = [f"both foo-bar Bad{'.' * (i % 2)} once{i} bad" for i in range(40)] + [f"both foo good other{i}" for i in range(40)]
+    texts = [f"both foo-bar Bad{'.' * (i % 2)} once{i} bad" for i in range(60)] + [f"both foo good other{i}" for i in range(60)]
     df = docs(*texts, None, "", "bad good rare rare")
-    sample = df.where("doc_id < 80").selectExpr("text", "cast(doc_id < 40 as int) as toxic")
+    sample = df.where("doc_id < 120").selectExpr("text", "cast(doc_id < 60 as int) as toxic")
     counted = {r["word"]: (r["toxic"], r["ordinary"]) for r in tox.word_counts(sample).collect()}
-    assert counted["bad"] == (40, 0) and counted["foo"] == (40, 40) and counted["once3"] == (1, 0)
+    assert counted["bad"] == (60, 0) and counted["foo"] == (60, 60) and counted["once3"] == (1, 0)
     corpus = tox.corpus_grams(df)
-    assert {r["gram"]: r["n"] for r in corpus.where("word").collect()}["bad"] == 81
+    assert {r["gram"]: r["n"] for r in corpus.where("word").collect()}["bad"] == 121
     found = tox.word_ratios(spark, sample, corpus)
     assert found.keys() == {"bad", "bar", "good"} and found["bad"] > 0 > found["good"]
-    toxic, ordinary, tokens = 40 * 5, 40 * 4, 80 + 80 + 40 + 81 + 41 + 80 + 2  # words of both, foo, bar, bad, good, own, rare
-    odds, error = math.log(40.5 / 0.5) - math.log(toxic / ordinary), math.sqrt(1 / 40.5 + 1 / 0.5)
-    share = 81 / tokens
-    known = (40 - 0.75) / toxic + 0.75 * 44 / toxic * share
-    ratio = math.log(known / (0.75 * 43 / ordinary * share))
+    toxic, ordinary, tokens = 60 * 5, 60 * 4, 120 + 120 + 60 + 121 + 61 + 120 + 2  # words of both, foo, bar, bad, good, own, rare
+    odds, error = math.log(60.5 / 0.5) - math.log(toxic / ordinary), math.sqrt(1 / 60.5 + 1 / 0.5)
+    share = 121 / tokens
+    known = (60 - 0.75) / toxic + 0.75 * 64 / toxic * share
+    ratio = math.log(known / (0.75 * 63 / ordinary * share))
     assert math.isclose(found["bad"], (1 - tox.ERRORS * error / odds) * ratio)
 
 
+def test_words_nobody_knows_back_off_to_their_beginning(spark, docs):
+    texts = [f"moron{'abcdefghij'[i % 10] * (1 + i // 10)} fine text" for i in range(60)] + ["fine mountain text"] * 60
+    df = docs(*texts, "moronic moros", None)
+    sample = df.where("doc_id < 120").selectExpr("text", "cast(doc_id < 60 as int) as toxic")
+    corpus = tox.corpus_grams(df)
+    begins = tox.word_ratios(spark, sample, corpus, 5)
+    assert begins.keys() == {"moron", "mount"} and begins["moron"] > 0 > begins["mount"]
+    # 61 different words begin with moron, one each with mount and moros: shares of different words.
+    toxic, ordinary, d = 60, 60, tox.DISCOUNT
+    odds, error = math.log(60.5 / 0.5), math.sqrt(1 / 60.5 + 1 / 0.5)
+    ratio = math.log(((60 - d) / toxic + d / toxic * 61 / 63) / (d / ordinary * 61 / 63))
+    assert math.isclose(begins["moron"], (1 - tox.ERRORS * error / odds) * ratio)
+    model = tox.ClassModel({}, {})
+    ratios = tox.Ratios(model, model, {"moroni": -1.0}, begins)
+    assert [ratios.word(w) for w in ("moronic", "moroni", "moro", "other")] == [begins["moron"], -1.0, 0.0, 0.0]
+
+
 def test_held_out_recall_of_words_by_language(spark):
     """Toxic words of German and French look like others by their characters, not as words."""
     docs, labels = table(spark, "documents"), table(spark, "labels")
@@ -177,7 +194,7 @@ def test_held_out_recall_of_words_by_language(spark):
     found = found.join(docs.select("doc_id", "lang"), "doc_id").collect()
     rejected = [r for r in found if r["predicted"]]
     assert sum(r["toxic"] for r in rejected) >= 0.95 * len(rejected)
-    for lang, least in (("en", 0.85), ("de", 0.75), ("fr", 0.65)):
+    for lang, least in (("en", 0.85), ("de", 0.75), ("fr", 0.65), ("es", 0.6)):
         toxic = [r["predicted"] for r in found if r["toxic"] and r["lang"] == lang]
         assert sum(toxic) >= least * len(toxic), lang
     toxic = [r["predicted"] for r in found if r["toxic"]]

@@ -15,12 +15,14 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import arrow
+from paylake.llm import arrow, ordering
 from paylake.llm.ordering import small_side, stored
 
 FIELD = "<*>"
@@ -54,15 +56,15 @@ def _masked(tokens: list[str]) -> str:
     return " ".join(FIELD if _DIGIT.search(token) else token for token in tokens)
 
 
-def _lines(docs: DataFrame, rules: Rules, forms: bool) -> DataFrame:
+def _lines(docs: DataFrame, rules: Rules, forms: bool, only: Broadcast | None = None) -> DataFrame:
     """Lines that weigh enough, with a hash of their leaf; with ``forms`` also their masked tokens.
 
-    A document is its id and the digest of its text.
+    A document is its id and the digest of its text. ``only`` is a sorted array of the leaves asked for.
     """
     schema = FORMS if forms else LEAVES
 
     def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, numbers, leaves, weights, masked = [], [], [], [], []
+        rows, numbers, leaves, weights, found = [], [], [], [], []
         digest, chars = xxhash.xxh64_intdigest, rules.token_chars
         for i, text in enumerate(batch.column("text").to_pylist()):
             for number, line in enumerate(text.split("\n") if text else ()):
@@ -79,29 +81,42 @@ def _lines(docs: DataFrame, rules: Rules, forms: bool) -> DataFrame:
                 leaves.append(digest(f"{len(tokens)} {lead}") - (1 << 63))
                 weights.append(weight)
                 if forms:
-                    masked.append(_masked(tokens))
+                    found.append(tokens)
+        rows, leaves = np.array(rows, np.int64), np.array(leaves, np.int64)
+        kept = np.arange(len(rows))
+        if only is not None:
+            place = np.searchsorted(only.value, leaves)
+            kept = np.flatnonzero(only.value.take(place, mode="clip") == leaves) if len(only.value) else kept[:0]
         return arrow.table(
             schema,
-            doc_id=batch.column("doc_id").take(pa.array(rows, pa.int64())),
-            content=batch.column("content").take(pa.array(rows, pa.int64())),
-            line_no=numbers,
-            leaf=leaves,
-            weight=weights,
-            form=masked,
+            doc_id=batch.column("doc_id").take(pa.array(rows[kept])),
+            content=batch.column("content").take(pa.array(rows[kept])),
+            line_no=pa.array(np.array(numbers, np.int32)[kept]),
+            leaf=pa.array(leaves[kept]),
+            weight=pa.array(np.array(weights, np.int32)[kept]),
+            form=[_masked(found[i]) for i in kept.tolist()] if forms else None,
         )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("content"), "text")
     return arrow.map_slices(source, parse, schema)
 
 
+def _lines_of(spark: SparkSession, docs: DataFrame, rules: Rules, leaves: DataFrame) -> DataFrame:
+    """Masked lines of the given leaves (stored), picked while parsing where the measured leaves are few."""
+    if leaves.count() * 8 <= ordering.BROADCAST_BYTES:
+        asked = spark.sparkContext.broadcast(np.sort(leaves.toArrow().column("leaf").to_numpy()))
+        return _lines(docs, rules, True, asked)
+    return _lines(docs, rules, True).join(leaves, "leaf", "left_semi")
+
+
 def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Every line (doc_id, content, line_no) of a recurring template, with ``template`` and ``first``.
 
     Leaves whose documents and heaviest line could not reach ``min_mass`` are left out before any token is
     looked at. A leaf is known by 64 bits of a hash of its path. Equal lines are merged first, so a line
-    that a third of all documents share is counted by partial sums. Tokens are counted and sent back by
-    leaf, place and token; a leaf of very many forms is spread over its tokens, and a token that
-    most of them share is split by AQE, as both sides of that join are written before.
+    that a third of all documents share is counted by partial sums. Tokens are counted by leaf, place and
+    token with partial sums too, so a leaf of very many forms is spread over its tokens; only tokens that
+    vary come back to their forms.
     """
     leaves = (
         _lines(docs, rules, False)
@@ -112,31 +127,28 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()
         .where((F.col("n_docs") >= rules.min_docs) & (F.col("n_docs") * F.col("weight") >= rules.min_mass))
         .select("leaf")
     )
-    shared = small_side(stored(spark, leaves, "leaves"), F.lit(64))
-    lines = _lines(docs, rules, True).join(shared, "leaf", "left_semi").drop("weight")
+    lines = _lines_of(spark, docs, rules, stored(spark, leaves, "leaves")).drop("weight")
     candidates = stored(spark, lines, "lines")
     forms = candidates.select("leaf", "form", "doc_id", "content").distinct().groupBy("leaf", "form").count()
     forms = forms.select("leaf", "form", F.col("count").alias("docs"))
     forms = stored(spark, forms.withColumn("form_no", F.monotonically_increasing_id()), "forms")
-    # Exploded tokens carry numbers of their form and leaf, not the texts.
+    # Exploded tokens carry the number of their form, and a hash that tells places and tokens of a leaf apart.
     places = forms.select("leaf", "form_no", "docs", F.posexplode(F.split("form", " ")).alias("place", "token"))
-    # The leading tokens are the path; places behind them are constant where documents agree.
-    behind = places.where((F.col("place") >= rules.depth) & (F.col("token") != FIELD))
-    constant = (
-        behind.groupBy("leaf", "place", "token")
-        .agg(F.sum("docs").alias("n"))
-        .where(F.col("n") >= rules.min_docs)
-        .drop("n")
-        .withColumn("constant", F.lit(True))
+    # The leading tokens are the path; places behind them are constant where documents agree, and vary elsewhere.
+    behind = places.where((F.col("place") >= rules.depth) & (F.col("token") != FIELD)).select(
+        "leaf", "form_no", "place", "docs", F.xxhash64("place", "token").alias("key")
     )
-    constant = stored(spark, constant, "constant")
-    # Only words that vary come back; a form is its template but for them.
-    varying = (
-        behind.join(constant, ["leaf", "place", "token"], "left")
-        .where(F.col("constant").isNull())
-        .groupBy("form_no")
-        .agg(F.collect_set("place").alias("varying"))
+    rare = (
+        behind.groupBy("leaf", "key")
+        .agg(F.sum("docs").alias("n"), F.min(F.struct("form_no", "place")).alias("one"))
+        .where(F.col("n") < rules.min_docs)
     )
+    if rules.min_docs <= 2:
+        varying = rare.select("one.*")  # a token of one document has one place
+    else:
+        rare = stored(spark, rare.select("leaf", "key"), "rare")
+        varying = behind.join(rare, ["leaf", "key"], "left_semi").select("form_no", "place")
+    varying = varying.groupBy("form_no").agg(F.collect_set("place").alias("varying"))
     tokens = F.transform(
         F.split("form", " "),
         lambda token, place: F.when(F.array_contains("varying", place), FIELD).otherwise(token),
@@ -193,22 +205,31 @@ def drop_recurring_lines(
     # A document without an id or a text joins by null-safe equality.
     same = docs["doc_id"].eqNullSafe(of("doc_id")) & (F.md5(docs["text"]) == of("content"))
     joined = docs.join(gone, same, "left")
-    lines = F.split(docs["text"], "\n")
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), of("gone"))
-    left = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col(column).isNull(), docs["text"]).otherwise(left)
-    kept = F.col(column).isNull() | left.rlike(f"[^{SPACE}]")
+    # Lines and what is left of them are columns, as an expression inside a lambda runs once an element.
+    name, rest = _free(joined, "lines"), _free(joined, "rest")
+    joined = joined.withColumn(name, F.split(docs["text"], "\n"))
+    places = F.array_except(F.sequence(F.lit(0), F.size(name) - 1), of("gone"))
+    left = F.array_join(F.transform(places, lambda i: F.get(F.col(name), i)), "\n")
+    joined = joined.withColumn(rest, F.when(F.col(column).isNotNull(), left))
     return joined.select(
         *[docs[name] for name in docs.columns],
         F.struct(
-            text.alias("text"),
-            F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
+            F.when(F.col(column).isNull(), docs["text"]).otherwise(F.col(rest)).alias("text"),
+            F.coalesce(F.size(name), F.lit(0)).alias("n_lines"),
             F.coalesce(F.size(of("gone")), F.lit(0)).alias("n_dropped"),
-            kept.alias("kept"),
+            (F.col(column).isNull() | F.col(rest).rlike(f"[^{SPACE}]")).alias("kept"),
         ).alias(column),
     )
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until it is none of the columns."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def line_report(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """What ``drop_recurring_lines`` does to each document, with the digest of the text it leaves."""
     found = drop_recurring_lines(spark, docs.select("doc_id", "text"), rules)

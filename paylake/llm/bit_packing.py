@@ -24,6 +24,8 @@ BLOCKS = pa.schema(
         ("first", pa.int64()),  # ids in the shard before the block
         ("n_tokens", pa.int64()),
         ("bits", pa.int32()),
+        ("first_doc", pa.int64()),
+        ("last_doc", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
         ("doc_tokens", pa.list_(pa.int64())),
         ("payload", pa.binary()),
@@ -102,7 +104,10 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 1, vocabulary: str =
                 rows["first"].append(first)
                 rows["n_tokens"].append(len(part))
                 rows["bits"].append(bits)
-                rows["doc_ids"].append(doc_ids.slice(at, to - at).to_pylist())
+                own = doc_ids.slice(at, to - at).to_pylist()  # ascending, null ones first
+                rows["first_doc"].append(next((i for i in own if i is not None), None))
+                rows["last_doc"].append(own[-1])
+                rows["doc_ids"].append(own)
                 rows["doc_tokens"].append(np.diff(ends[at:to], prepend=done).tolist())
                 rows["payload"].append(pack(part, bits))
                 block, first, at, done = block + 1, first + len(part), to, int(ends[to - 1])
@@ -157,9 +162,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def blocks_of(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
+    """The blocks that hold rows of one document."""
+    asked = F.lit(doc_id).cast("long")
+    around = read_blocks(spark, path).where((F.col("first_doc") <= asked) & (F.col("last_doc") >= asked))
+    return around.where(F.array_contains("doc_ids", asked))
+
+
 def read_ids(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
-    """Ids of one document (of each row with that id), reading only its block."""
-    block = read_blocks(spark, path).where(F.array_contains("doc_ids", F.lit(doc_id).cast("long")))
+    """Ids of one document (of each row with that id), reading only its block.
+
+    Blocks are in the order of their ids, so the statistics of the files and of their pages on the first and
+    last id of a block leave few pages to be read.
+    """
+    block = blocks_of(spark, path, doc_id)
     out = []
     for row in block.orderBy("shard", "block").toLocalIterator():
         ends = np.cumsum(row["doc_tokens"])

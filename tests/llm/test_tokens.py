@@ -99,6 +99,21 @@ def test_token_files_of_odd_documents(spark, odd_docs, monkeypatch):
     assert len(bit_packing.read_ids(spark, path, 1)) == 3
 
 
+def test_a_document_is_found_by_the_range_of_its_block(spark, docs, monkeypatch):
+    monkeypatch.setattr(bit_packing, "BLOCK_TOKENS", 50)
+    texts = [(i * 3, f"document number {i} has words of its own") for i in range(200)] + [(None, "no id"), (30, "again")]
+    path = scratch_path(spark, "test")
+    bit_packing.write_tokens(docs(*texts), path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = bit_packing.blocks_of(spark, path, 30)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThanOrEqual(first_doc,30)" in plan and "GreaterThanOrEqual(last_doc,30)" in plan
+    assert sorted(bit_packing.read_ids(spark, path, 30)) == sorted(encoded(t, 1) for i, t in texts if i == 30)
+    assert bit_packing.read_ids(spark, path, 31) == [] and len(bit_packing.read_ids(spark, path, 597)) == 1
+    ranges = bit_packing.read_blocks(spark, path).select("first_doc", "last_doc").collect()
+    assert len(ranges) > 30 and sum((r["first_doc"] or 0) <= 300 <= (r["last_doc"] or -1) for r in ranges) <= 2
+
+
 @settings(max_examples=150, deadline=None)
 @given(
     st.dictionaries(st.integers(1, 64), st.integers(1, 200), min_size=1, max_size=25),

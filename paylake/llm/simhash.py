@@ -315,6 +315,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, limit:
     )
 
 
+def verdicts(spark: SparkSession, docs: DataFrame, words: int = 4, limit: int = 4) -> DataFrame:
+    """Documents to treat apart when one of each component is kept: ``doc_id, content, n, kept``, a stored table.
+
+    A document is its id and the md5 of its text (null as empty), ``n`` the number of its rows. It is listed if it
+    goes, or if it is kept and has several rows; any other is the only one of its component to stay as
+    it is. Kept is the one with the smallest id, those without an id last, and of several texts with that id
+    the one with the smallest digest.
+    """
+    rows = stored(spark, with_fingerprint(docs, words), "fingerprints")
+    _, least = _classes(spark, rows, limit)
+    keep = stored(spark, least.select(F.col("keeper.doc_id").alias("id"), F.col("keeper.content").alias("digest")), "keep")
+    documents = rows.groupBy("doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("content") == F.col("digest"))
+    told = documents.join(keep, same, "left").withColumn("kept", F.col("digest").isNotNull())
+    return stored(spark, told.where(~F.col("kept") | (F.col("n") > 1)).select("doc_id", "content", "n", "kept"), "verdicts")
+
+
 def keepers(spark: SparkSession, docs: DataFrame, words: int = 4, limit: int = 4) -> DataFrame:
     """One document of each component as ``doc_id, content`` (md5 of its text, null as empty).
 

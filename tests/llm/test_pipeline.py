@@ -13,7 +13,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from checks.compare import connect, spark_rows, sql_rows
-from paylake.llm import catalog, line_templates, stages, toxicity
+from paylake.llm import catalog, line_templates, ordering, stages, toxicity
 
 ROOT = Path(__file__).resolve().parents[2]
 SMALL = "/root/testdata/sf0.001"
@@ -25,7 +25,7 @@ def rows(df):
 
 def test_queries_are_registered():
     names = __spark_entry__.queries().keys()
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names}
     assert "pipeline" in names and set(catalog.SQL) <= set(__spark_entry__.oracle_sql())
 
 
@@ -106,6 +106,19 @@ def test_one_row_of_each_component_stays(spark, docs):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, b), (3, a)]
 
 
+@pytest.mark.parametrize("broadcast_bytes", [ordering.BROADCAST_BYTES, 0])
+def test_near_duplicates_go_with_and_without_a_broadcast(spark, docs, monkeypatch, broadcast_bytes):
+    """A text that two thirds of all rows hold, under one id and under many; texts of their own stay."""
+    monkeypatch.setattr(ordering, "BROADCAST_BYTES", broadcast_bytes)
+    hot = "one text that very many documents of this table have in common with each other"
+    own = [f"text number {i} is about {'abcdefghij'[i % 10] * 9} and {i * i} and {i * 7919}" for i in range(60)]
+    out = stages.simhash_near_dedup(spark, docs(*[hot] * 60, *own, *[(7, hot)] * 60), SMALL)
+    left = Counter(r["text"] for r in out.collect())
+    assert left[hot] == 1 and all(n == 1 for n in left.values())
+    keys = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert keys[0, hot] == 1
+
+
 def test_the_rest_works_without_the_subpackage(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))

@@ -25,6 +25,7 @@ BITS = 64
 SEED = 42
 # A node of the tries' tops is split further while it holds more fingerprints than this.
 NODE_SIZE = 65_536
+DEEPEST = 24
 
 
 def shingles(text: str, words: int) -> list[bytes]:
@@ -188,7 +189,9 @@ def trie_links(
 def _nodes(spark: SparkSession, keys: DataFrame, count: int) -> list[tuple[int, int]]:
     """Tops of the trie as (prefix, depth), each with at most about ``NODE_SIZE`` keys.
 
-    Only counts per node reach the driver: one for every ``NODE_SIZE`` keys or so.
+    Only counts per node reach the driver: one for every ``NODE_SIZE`` keys or so. Nodes end within the first
+    half, whose budget tells which of them meet; a node of ``DEEPEST`` or more bits is not split any further,
+    and holds the fingerprints that are equal in these bits.
     """
     depth = ((max(count, 1) - 1) // NODE_SIZE).bit_length()
     parents, done = None, []
@@ -198,7 +201,7 @@ def _nodes(spark: SparkSession, keys: DataFrame, count: int) -> list[tuple[int,
             above = spark.createDataFrame(pa.table({"parent": pa.array(parents, pa.int64())}))
             at = at.join(F.broadcast(above), F.shiftright("prefix", 4) == F.col("parent"), "left_semi")
         counts = at.groupBy("prefix").count().collect()
-        parents = [r["prefix"] for r in counts if r["count"] > 4 * NODE_SIZE and depth < 24]
+        parents = [r["prefix"] for r in counts if r["count"] > 4 * NODE_SIZE and depth < DEEPEST]
         inner = set(parents)
         done += [(r["prefix"], depth) for r in counts if r["prefix"] not in inner]
         depth += 4
@@ -209,32 +212,28 @@ def _prefix(depth: int):
     return F.shiftrightunsigned("key", BITS - depth) if depth else F.lit(0).cast("long")
 
 
-MEETING = ["owner", "cell", "prefix", "depth", "spent", "common", "mine"]
-
-
-def _meetings(nodes: list[tuple[int, int]], least: int, half: int) -> list[tuple[int, ...]]:
+def _meetings(spark: SparkSession, nodes: list[tuple[int, int]], least: int, half: int) -> DataFrame:
     """Which nodes come to which owner: each pair of nodes within the budget meets at one owner.
 
     Cells are the nodes' prefixes at the least depth. Cells within ``half`` flipped bits
-    are found by flipping bits, so far nodes are never compared.
+    are found by flipping bits, so far nodes are never compared. The driver holds the nodes only.
     """
-    cells: dict[int, list[tuple[int, int]]] = {}
-    for prefix, depth in nodes:
-        cells.setdefault(prefix >> (depth - least), []).append((prefix, depth))
     masks = [sum(1 << b for b in bits) for k in range(half + 1) for bits in combinations(range(least), k)]
-    number = {node: i for i, node in enumerate(nodes)}
-    out = []
-    for cell, members in cells.items():
-        for mask in masks:
-            for other in cells.get(cell ^ mask, ()):
-                for node in members:
-                    common = min(node[1], other[1])
-                    differ = (node[0] >> (node[1] - common)) ^ (other[0] >> (other[1] - common))
-                    if number[node] <= number[other] and differ.bit_count() <= half:
-                        out.append(
-                            (number[node], cell ^ mask, *other, differ.bit_count(), common, int(node == other))
-                        )
-    return out
+    table = np.array([(i, *node) for i, node in enumerate(nodes)], np.int64).reshape(-1, 3)
+    rows = spark.createDataFrame(pa.table([pa.array(x) for x in table.T], names=["number", "prefix", "depth"]))
+    up = lambda prefix, bits: F.expr(f"shiftright({prefix}, cast({bits} as int))")
+    rows = rows.withColumn("cell", up("prefix", f"depth - {least}"))
+    owners = rows.select(
+        F.col("number").alias("owner"),
+        F.col("prefix").alias("own_prefix"),
+        F.col("depth").alias("own_depth"),
+        F.explode(F.transform(F.array(*map(F.lit, masks)), lambda m: F.col("cell").bitwiseXOR(m))).alias("cell"),
+    )
+    met = owners.join(rows, "cell").where("owner <= number").withColumn("common", F.least("depth", "own_depth"))
+    differ = up("prefix", "depth - common").bitwiseXOR(up("own_prefix", "own_depth - common"))
+    met = met.withColumn("spent", F.bit_count(differ)).where(F.col("spent") <= half)
+    mine = (F.col("owner") == F.col("number")).cast("long").alias("mine")
+    return met.select("owner", "cell", "prefix", "depth", "spent", "common", mine)
 
 
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -277,8 +276,7 @@ def links(spark: SparkSession, distinct: DataFrame, limit: int) -> DataFrame:
         keys = distinct.select((swap if turned else F.col("fp")).alias("key"))
         nodes = _nodes(spark, keys, count)
         least = min((depth for _, depth in nodes), default=0)
-        rows = np.array(_meetings(nodes, least, limit // 2), np.int64).reshape(-1, len(MEETING))
-        meetings = spark.createDataFrame(pa.table([pa.array(x) for x in rows.T], names=MEETING))
+        meetings = stored(spark, _meetings(spark, nodes, least, limit // 2), "meetings")
         own = F.expr(f"if(depth = 0, 0L, shiftrightunsigned(key, cast({BITS} - depth as int)))")
         met = keys.withColumn("cell", _prefix(least)).join(meetings, "cell").where(own == F.col("prefix"))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,4 +46,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{base.rstrip('/')}/paylake-{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/paylake-{label}-{uuid.uuid4().hex}"
+    for paths in _watched:
+        paths.append(path)
+    return path
+
+
+# Lists that get the scratch paths handed out while they are watched.
+_watched: list[list[str]] = []
+
+
+@contextmanager
+def reclaimed_scratch(spark: SparkSession, *kept: str) -> Iterator[None]:
+    """Remove the scratch that is handed out inside, but for ``kept``, once the block has come through.
+
+    For blocks that end with a written result, which nothing reads the scratch for any more. After
+    an error it stays for inspection.
+    """
+    made: list[str] = []
+    _watched.append(made)
+    try:
+        yield
+    finally:
+        _watched[:] = [paths for paths in _watched if paths is not made]
+    for path in made:
+        if path not in kept:
+            remove_scratch(spark, path)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_path`` named, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

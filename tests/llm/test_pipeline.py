@@ -9,10 +9,12 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 
 import __spark_entry__
 import corpus_pipeline
 from checks.compare import connect, spark_rows, sql_rows
+from paylake import session
 from paylake.llm import catalog, line_templates, ordering, stages, toxicity
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -91,6 +93,20 @@ def test_run_applies_all_stages_in_order(spark, monkeypatch):
     assert out.select("doc_id").distinct().count() <= counts[-1]
 
 
+def test_a_run_leaves_its_result_only(spark, monkeypatch):
+    made: list[str] = []
+    monkeypatch.setattr(session, "_watched", [made])
+    there = lambda: {Path(p).name.split("-")[1] for p in made if Path(p).exists()}
+    out = corpus_pipeline.run(spark, SMALL)
+    assert there() == {"best_fit_packing"} and len(made) > 20 and out.count() > 0
+    made.clear()
+    broken = lambda *_: out.selectExpr("raise_error('no')")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:2], ("broken", broken)])
+    with pytest.raises(PySparkException):
+        corpus_pipeline.run(spark, SMALL)
+    assert "line_dedup" in there() and "toxicity" not in there()
+
+
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]], ids=lambda f: f.__name__)
 def test_stages_keep_odd_rows_whole(spark, odd_docs, empty_docs, stage):
     out = stage(spark, odd_docs, SMALL)

@@ -26,6 +26,8 @@ from paylake.llm import arrow, ordering
 from paylake.llm.ordering import small_side, stored
 
 FIELD = "<*>"
+# Text that is parsed at once; its tokens take some ten times as much, and workers serve later stages too.
+SLICE_BYTES = 2 << 20
 # Tokens are what stands between white space; these are the characters that Unicode counts as such.
 SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
@@ -81,7 +83,7 @@ def _lines(docs: DataFrame, rules: Rules, forms: bool, only: Broadcast | None =
                 leaves.append(digest(f"{len(tokens)} {lead}") - (1 << 63))
                 weights.append(weight)
                 if forms:
-                    found.append(tokens)
+                    found.append(line)  # its tokens again later, as few lines are asked for
         rows, leaves = np.array(rows, np.int64), np.array(leaves, np.int64)
         kept = np.arange(len(rows))
         if only is not None:
@@ -94,11 +96,11 @@ def _lines(docs: DataFrame, rules: Rules, forms: bool, only: Broadcast | None =
             line_no=pa.array(np.array(numbers, np.int32)[kept]),
             leaf=pa.array(leaves[kept]),
             weight=pa.array(np.array(weights, np.int32)[kept]),
-            form=[_masked(found[i]) for i in kept.tolist()] if forms else None,
+            form=[_masked(found[i].split()) for i in kept.tolist()] if forms else None,
         )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("content"), "text")
-    return arrow.map_slices(source, parse, schema)
+    return arrow.map_slices(source, parse, schema, limit=SLICE_BYTES)
 
 
 def _lines_of(spark: SparkSession, docs: DataFrame, rules: Rules, leaves: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.llm import arrow
-from paylake.llm.ordering import stored
+from paylake.llm.ordering import small_side, stored
 from paylake.llm.words import Words
 
 WINDOW = 10
@@ -28,6 +28,8 @@ STRETCH = 64
 SLICE_BYTES = 1 << 19
 # Benchmark text searched in one pass; a larger benchmark takes several passes.
 PASS_BYTES = 8 << 20
+# Windows in one stretch of an item, the unit that passes are made of.
+STRETCH_WINDOWS = 4096
 
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -137,8 +139,32 @@ def occurrences(words: Words, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
     return place[same], window[same]
 
 
-def _search(names: list[str], column: str, shared, schema: pa.Schema):
-    """Adds the occurrences of one pass to the struct ``column``."""
+def stretches(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``benchmark`` with each item cut into stretches of ``STRETCH_WINDOWS`` windows, so that none is long.
+
+    The text of a stretch is its words, lower-cased and with a blank between them; stretches of an item overlap by
+    the words that windows across a border need. Items without words have no stretch.
+    """
+    schema = pa.schema([("item_id", pa.string()), ("text", pa.string())])
+
+    def run(batches):
+        for batch in arrow.text_slices(batches):
+            words = Words(*arrow.raw_bytes(arrow.texts(batch)))
+            text, start, end = words.joined()
+            rows, parts = [], []
+            for row, (first, last) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
+                windows = max(1, last - first - size + 1) if last > first else 0
+                for at in range(first, first + windows, STRETCH_WINDOWS):
+                    stop = min(last, at + STRETCH_WINDOWS + size - 1)
+                    rows.append(row)
+                    parts.append(text[start[at] : end[stop - 1]].decode())
+            yield arrow.table(schema, item_id=batch.column("item_id").take(pa.array(rows, pa.int64())), text=parts)
+
+    return arrow.map_batches(benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text"), run, schema)
+
+
+def _search(names: list[str], column: str, shared, schema: pa.Schema, hits_only: bool = False):
+    """Adds the occurrences of one pass to the struct ``column``; with ``hits_only``, of rows that have any."""
     kind = schema.field(column).type
 
     def run(batches):
@@ -148,6 +174,8 @@ def _search(names: list[str], column: str, shared, schema: pa.Schema):
             items: dict[int, set[str]] = defaultdict(set)
             if column in batch.schema.names:
                 for i, old in enumerate(batch.column(column).to_pylist()):
+                    if old is None:
+                        continue
                     items[i].update(old["items"])
                     for span in old["spans"]:
                         edge[words.first[i] + span["first"]] += 1
@@ -177,13 +205,35 @@ def _search(names: list[str], column: str, shared, schema: pa.Schema):
                 {"n_words": int(count[i]), "spans": spans.get(i, []), "items": sorted(items.get(i, ()))}
                 for i in range(batch.num_rows)
             ]
-            yield pa.RecordBatch.from_arrays(
+            found = pa.RecordBatch.from_arrays(
                 [batch.column(name) for name in names] + [pa.array(value, kind)], schema=schema
             )
+            yield found.take(pa.array(sorted(spans), pa.int64())) if hits_only else found
 
     return run
 
 
+def _hits(found: list[DataFrame], column: str) -> DataFrame:
+    """One row for each text that passes hit: ``_content`` and all they found as one struct ``column``.
+
+    Equal texts have equal hits in a pass, so they come once a task before anything is shuffled, and
+    a text has a row a pass at most.
+    """
+    hits = None
+    for one in found:
+        once = one.groupBy("_content").agg(F.first(column).alias(column))
+        hits = once if hits is None else hits.unionByName(once)
+    together = hits.groupBy("_content").agg(F.collect_list(column).alias("_all"))
+    return together.select(
+        "_content",
+        F.struct(
+            F.col("_all")[0]["n_words"].alias("n_words"),
+            F.flatten(F.col("_all.spans")).alias("spans"),
+            F.array_distinct(F.flatten(F.col("_all.items"))).alias("items"),
+        ).alias(column),
+    )
+
+
 def find_benchmark(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, column: str = "contamination", size: int = WINDOW
 ) -> DataFrame:
@@ -193,13 +243,15 @@ def find_benchmark(
     Spans are disjoint, count words from 0 and exclude their end. Null and empty texts have no words and no
     hits, benchmark rows without words occur nowhere, and repeated item ids count once. Every row and
     every column of ``docs`` stays; ``column`` must not be among them. A benchmark beyond ``PASS_BYTES`` is
-    searched in several passes over the documents, so tasks and driver hold one part of it at a time.
+    searched in several passes over the documents, so tasks and driver hold one part of it at a time. All passes
+    but the last write the texts they hit by digest, with spans and items; texts themselves are never written,
+    and meet those hits before the last pass: in a broadcast if their measured size allows it, else in one shuffle.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     names = docs.columns
     # Repeated rows hash alike, so they would all come in one pass.
-    benchmark = stored(spark, benchmark.select("item_id", "text").distinct(), "benchmark")
+    benchmark = stored(spark, stretches(benchmark, size).distinct(), "benchmark")
     total = benchmark.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     passes = max(1, -(-total // PASS_BYTES))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
@@ -211,13 +263,25 @@ def find_benchmark(
         ]
     )
     schema = to_arrow_schema(docs.schema).append(pa.field(column, kind))
-    for i in range(passes):
+
+    def tables(i: int):
         own = benchmark.where(part == i).collect()  # about PASS_BYTES
-        shared = spark.sparkContext.broadcast(build_tables([tuple(row) for row in own], size))
-        docs = arrow.map_batches(docs, _search(names, column, shared, schema), schema)
-        if i + 1 < passes:
-            docs = stored(spark, docs, "contamination")
-    return docs
+        return spark.sparkContext.broadcast(build_tables([tuple(row) for row in own], size))
+
+    if passes > 1:
+        content = F.md5(F.coalesce(docs["text"], F.lit("")))
+        texts = docs.select(content.alias("_content"), "text")
+        small = pa.schema([("_content", pa.string()), ("text", pa.string()), pa.field(column, kind)])
+        found = []
+        for i in range(passes - 1):
+            search = _search(["_content", "text"], column, tables(i), small, hits_only=True)
+            found.append(stored(spark, arrow.map_batches(texts, search, small).drop("text"), "hits"))
+        # Written, as its size is measured and AQE splits a skewed join only when both sides come straight from a shuffle.
+        hits = stored(spark, _hits(found, column), "contamination")
+        spans, items = F.size(f"{column}.spans"), F.array_join(f"{column}.items", ",")
+        listed = small_side(hits, spans * 16 + F.octet_length(items) + F.size(f"{column}.items") * 16 + 128)
+        docs = docs.join(listed, content == listed["_content"], "left").select(*[docs[name] for name in names], listed[column])
+    return arrow.map_batches(docs, _search(names, column, tables(passes - 1), schema), schema)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:

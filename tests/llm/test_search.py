@@ -120,6 +120,42 @@ def test_odd_documents_in_one_pass_and_in_several(spark, odd_docs, empty_docs, m
     assert [(s["first"], s["end"]) for s in spans["spans"]] == [(1, 3)]
 
 
+@pytest.mark.parametrize("broadcast_bytes", [32 << 20, -1])
+def test_several_passes_over_hot_copies_and_long_items_write_no_texts(spark, docs, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(ordering, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(decontamination, "PASS_BYTES", 600)
+    monkeypatch.setattr(decontamination, "STRETCH_WINDOWS", 7)
+    words = [f"w{i}" for i in range(150)]
+    items = [(1, " ".join(words)), (2, "W3, w4!"), (3, " ".join(words[40:52])), (None, "w149"), (4, "...")]
+    hot = (0, " ".join(words[30:90]))
+    rows = [hot] * 60 + [(i, " ".join(words[i : i + 14])) for i in range(1, 140)] + [(200, None), (201, "none of it")]
+    written = []
+    store = decontamination.stored
+
+    def spied(session, df, label):
+        written.append((label, df.columns))
+        return store(session, df, label)
+
+    monkeypatch.setattr(decontamination, "stored", spied)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contamination(spark, docs(*rows), benchmark).collect()
+    assert Counter(map(tuple, found)) == Counter(expected_report(rows, items))
+    labels = [label for label, _ in written]
+    assert labels[0] == "benchmark" and labels.count("hits") >= 2 and labels[-1] == "contamination"
+    assert not any("text" in columns for label, columns in written if label != "benchmark")
+
+
+def test_stretches_hold_the_windows_of_their_items(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "STRETCH_WINDOWS", 5)
+    items = [(str(n), " ".join(f"W{i}" for i in range(n))) for n in (0, 1, 9, 10, 11, 14, 15, 24, 40)] + [(None, None)]
+    cut = decontamination.stretches(spark.createDataFrame(items, "item_id string, text string")).collect()
+    for name, text in items:
+        parts = [r["text"] for r in cut if r["item_id"] == name]
+        windows = [w for part in parts for w in decontamination.windows_of(part)]
+        assert sorted(windows) == sorted(decontamination.windows_of(text))
+        assert all(len(part.split()) <= 14 for part in parts)
+
+
 def in_sql(df, rules=Rules()):
     connection = duckdb.connect()
     documents = df.select("doc_id", "text").toArrow()

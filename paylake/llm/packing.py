@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from paylake.llm import arrow
 from paylake.llm.ordering import numbered, stored
-from paylake.llm.vocabulary import SLICE_BYTES, WORDS, word_encoder
+from paylake.llm.vocabulary import WORDS, word_encoder
 
 PIECE_ROWS = pa.schema(
     [
@@ -119,7 +119,7 @@ def pieces(docs: DataFrame, limit: int, end_id: int = 0, vocabulary: str = WORDS
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, counts = word_encoder(vocabulary).encode(arrow.texts(batch))
-        ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id)).astype("<u4")
+        ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id)).astype("<u4", copy=False)
         counts = counts + 1
         n_pieces = -(-counts // limit)
         row = np.repeat(np.arange(len(counts)), n_pieces)
@@ -137,7 +137,7 @@ def pieces(docs: DataFrame, limit: int, end_id: int = 0, vocabulary: str = WORDS
             ids_crc32=sums,
         )
 
-    return arrow.map_slices(docs.select("doc_id", "text"), cut, PIECE_ROWS, limit=SLICE_BYTES)
+    return arrow.map_slices(docs.select("doc_id", "text"), cut, PIECE_ROWS)
 
 
 def pack_documents(

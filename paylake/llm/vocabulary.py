@@ -42,6 +42,8 @@ class WordEncoder:
     PLAIN = staticmethod(re.compile("[a-zß-öø-ÿ]+").fullmatch)
     WORD_END = "</w>"
     TOGETHER = 512
+    # Chunks whose ids are gathered at once, so that places of ids take little beside the ids.
+    AT_ONCE = 1 << 16
 
     def __init__(self, name: str = WORDS):
         # Spark runs a worker per core; the library's own threads would only compete.
@@ -85,20 +87,26 @@ class WordEncoder:
             pc.ascii_lower(plain), f"([a-z])([{self.MARKS}])", r"\1 \2"
         )
         words = pc.ascii_split_whitespace(spaced)
+        del spaced, plain
         n_words = pc.list_value_length(words).to_numpy(zero_copy_only=False)
         coded = words.flatten().dictionary_encode()
+        del words
         keys = coded.dictionary.to_pylist()
         codes = coded.indices.to_numpy()
         ids = self.memo.get(keys)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
+        del keys, ids
         starts = np.cumsum(sizes) - sizes
-        of_word = sizes[codes]
-        ends = np.cumsum(of_word)
-        source = np.repeat(starts[codes] - (ends - of_word), of_word)
-        out = flat[source + np.arange(len(source))]
+        totals = np.zeros(len(codes) + 1, np.int64)  # ids before each chunk
+        np.cumsum(sizes[codes], out=totals[1:])
+        out = np.empty(totals[-1], "<u4")
+        for a in range(0, len(codes), self.AT_ONCE):
+            part = codes[a : a + self.AT_ONCE]
+            begin, stop = totals[a], totals[a + len(part)]
+            source = np.repeat(starts[part] - totals[a : a + len(part)], sizes[part])
+            out[begin:stop] = flat[source + np.arange(begin, stop)]
         word_ends = np.cumsum(n_words)
-        totals = np.concatenate([[0], ends])
         counts = totals[word_ends] - totals[word_ends - n_words]
         if whole.any():
             return self._with_whole(strings, whole, out, counts)

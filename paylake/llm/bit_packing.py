@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -130,6 +131,32 @@ def shard_starts(blocks: DataFrame) -> DataFrame:
     )
 
 
+def documents_of(blocks: pa.RecordBatch) -> pa.RecordBatch:
+    """The documents of all blocks of a batch, in one batch of ``READ``."""
+    n_docs = pc.list_value_length(blocks.column("doc_ids")).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(blocks.num_rows), n_docs)
+    sizes = blocks.column("doc_tokens").flatten().to_numpy()
+    ends = np.cumsum(sizes)
+    n_tokens = blocks.column("n_tokens").to_numpy()
+    in_block = ends - sizes - (np.cumsum(n_tokens) - n_tokens)[row]
+    sums, at = np.zeros(len(row), np.int64), 0
+    bits = blocks.column("bits").to_pylist()
+    for payload, width, n, docs in zip(blocks.column("payload"), bits, n_tokens, n_docs, strict=True):
+        ids = unpack(payload.as_buffer(), width, 0, n)
+        for k in range(at, at + docs):
+            sums[k] = zlib.crc32(ids[in_block[k] : in_block[k] + sizes[k]])
+        at += docs
+    return arrow.table(
+        READ,
+        shard=blocks.column("shard").take(pa.array(row)),
+        block=blocks.column("block").take(pa.array(row)),
+        doc_id=blocks.column("doc_ids").flatten(),
+        first=blocks.column("first").to_numpy()[row] + in_block,
+        n_tokens=sizes,
+        ids_crc32=sums,
+    )
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every written document, from the files alone.
 
@@ -140,20 +167,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     def unpack_blocks(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                sizes = np.array(row["doc_tokens"], np.int64)
-                ends = np.cumsum(sizes)
-                ids = unpack(row["payload"], row["bits"], 0, row["n_tokens"])
-                sums = [zlib.crc32(ids[end - size : end]) for end, size in zip(ends, sizes, strict=True)]
-                yield arrow.table(
-                    READ,
-                    shard=[row["shard"]] * len(sums),
-                    block=[row["block"]] * len(sums),
-                    doc_id=row["doc_ids"],
-                    first=(row["first"] + ends - sizes).tolist(),
-                    n_tokens=sizes.tolist(),
-                    ids_crc32=sums,
-                )
+            yield documents_of(batch)
 
     found = arrow.map_batches(blocks, unpack_blocks, READ)
     starts = F.broadcast(shard_starts(blocks.select("shard", "n_tokens")))

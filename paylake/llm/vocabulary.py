@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
-import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from paylake.llm import arrow
 from paylake.llm.memo import Memo
 
 PIECES = "piece_bpe_32k.model"
@@ -39,11 +39,15 @@ class WordEncoder:
     MARKS = ".,!*&%$#?;:"
     # A chunk of letters is one word, whose last id alone bears the end mark. Many such chunks
     # are encoded as one text and told apart by it, which the library does faster.
-    PLAIN = staticmethod(re.compile("[a-zß-öø-ÿ]+").fullmatch)
+    PLAIN = "^[a-zß-öø-ÿ]+$"
     WORD_END = "</w>"
     TOGETHER = 512
-    # Chunks whose ids are gathered at once, so that places of ids take little beside the ids.
-    AT_ONCE = 1 << 16
+    # Other chunks given to the library at once.
+    AT_ONCE = 4096
+    # Chunks whose ids are kept from slice to slice and from task to task, those seen last, as
+    # two flat Arrow arrays: some MB. Chunks of more bytes are not kept.
+    KEPT = 200_000
+    KEPT_BYTES = 64
 
     def __init__(self, name: str = WORDS):
         # Spark runs a worker per core; the library's own threads would only compete.
@@ -57,25 +61,68 @@ class WordEncoder:
         self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
         for token, number in self.library.get_vocab().items():
             self.ends_word[number] = token.endswith(self.WORD_END)
-        self.memo = Memo(self._encode, 200_000)
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(chunks)
-        plain = [i for i, chunk in enumerate(chunks) if self.PLAIN(chunk)]
-        for start in range(0, len(plain), self.TOGETHER):
-            part = plain[start : start + self.TOGETHER]
-            encoded = self.library.encode(" ".join(chunks[i] for i in part), add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4")
-            stops = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+        self.kept = pa.array([], pa.string())
+        self.kept_ids = pa.array([], pa.large_binary())
+
+    def _library(self, strings: list[str]) -> list[np.ndarray]:
+        encoded = self.library.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(each.ids, "<u4") for each in encoded]
+
+    def _encode(self, chunks: pa.Array) -> pa.Array:
+        """The library's ids of each chunk, as bytes."""
+        plain = pc.match_substring_regex(chunks, self.PLAIN).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(plain)
+        begins = np.arange(0, len(at), self.TOGETHER)
+        words = pa.ListArray.from_arrays(
+            pa.array(np.append(begins, len(at)), pa.int32()), chunks.take(pa.array(at))
+        )
+        order, sizes, ids = [], [], []
+        for begin, text in zip(begins, pc.binary_join(words, " ").to_pylist(), strict=True):
+            part = at[begin : begin + self.TOGETHER]
+            (found,) = self._library([text])
+            stops = np.flatnonzero(self.ends_word[found]) + 1
             if len(stops) == len(part):
-                raw, begin = ids.tobytes(), 0
-                for i, stop in zip(part, stops.tolist(), strict=True):
-                    out[i], begin = raw[begin:stop], stop
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        encoded = self.library.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)
-        for i, each in zip(rest, encoded, strict=True):
-            out[i] = np.array(each.ids, "<u4").tobytes()
-        return out
+                order.append(part)
+                sizes.append(np.diff(stops, prepend=0))
+                ids.append(found[: stops[-1]])
+            else:
+                plain[part] = False
+        rest = np.flatnonzero(~plain)
+        for begin in range(0, len(rest), self.AT_ONCE):
+            part = rest[begin : begin + self.AT_ONCE]
+            found = self._library(chunks.take(pa.array(part)).to_pylist())
+            order.append(part)
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.extend(found)
+        if not order:
+            return pa.array([], pa.large_binary())
+        places = np.zeros(len(chunks) + 1, np.int64)
+        np.cumsum(np.concatenate(sizes) * 4, out=places[1:])
+        buffers = [None, pa.py_buffer(places), pa.py_buffer(np.concatenate(ids))]
+        by_order = pa.Array.from_buffers(pa.large_binary(), len(chunks), buffers)
+        return by_order.take(pa.array(np.argsort(np.concatenate(order))))
+
+    def ids_of(self, chunks: pa.Array) -> pa.Array:
+        """Ids of distinct chunks as bytes; only those that are not kept go to the library."""
+        chunks = chunks.cast(self.kept.type)
+        at = pc.index_in(chunks, value_set=self.kept)
+        new = pc.is_null(at).to_numpy(zero_copy_only=False)
+        row = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        older = np.ones(len(self.kept), bool)
+        older[row[~new]] = False
+        row[new] = len(self.kept) + np.arange(new.sum())
+        found = pa.concat_arrays([self.kept_ids, self._encode(chunks.filter(pa.array(new)))])
+        ids = found.take(pa.array(row))
+        short = pc.less_equal(pc.binary_length(chunks), self.KEPT_BYTES)
+        self.kept, self.kept_ids = (
+            self._seen_last(*arrays, short, pa.array(older))
+            for arrays in ((chunks, self.kept), (ids, self.kept_ids))
+        )
+        return ids
+
+    def _seen_last(self, now: pa.Array, before: pa.Array, short: pa.Array, older: pa.Array) -> pa.Array:
+        now = now.filter(short).slice(0, self.KEPT)
+        return pa.concat_arrays([now, before.filter(older).slice(0, self.KEPT - len(now))])
 
     def encode(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row as unsigned 32-bit, and the number of ids of each text."""
@@ -91,23 +138,10 @@ class WordEncoder:
         n_words = pc.list_value_length(words).to_numpy(zero_copy_only=False)
         coded = words.flatten().dictionary_encode()
         del words
-        keys = coded.dictionary.to_pylist()
-        codes = coded.indices.to_numpy()
-        ids = self.memo.get(keys)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        del keys, ids
-        starts = np.cumsum(sizes) - sizes
-        totals = np.zeros(len(codes) + 1, np.int64)  # ids before each chunk
-        np.cumsum(sizes[codes], out=totals[1:])
-        out = np.empty(totals[-1], "<u4")
-        for a in range(0, len(codes), self.AT_ONCE):
-            part = codes[a : a + self.AT_ONCE]
-            begin, stop = totals[a], totals[a + len(part)]
-            source = np.repeat(starts[part] - totals[a : a + len(part)], sizes[part])
-            out[begin:stop] = flat[source + np.arange(begin, stop)]
+        flat, places = arrow.raw_bytes(self.ids_of(coded.dictionary).take(coded.indices))
+        out = flat.view("<u4")
         word_ends = np.cumsum(n_words)
-        counts = totals[word_ends] - totals[word_ends - n_words]
+        counts = (places[word_ends] - places[word_ends - n_words]) // 4
         if whole.any():
             return self._with_whole(strings, whole, out, counts)
         return out, counts

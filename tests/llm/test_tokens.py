@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from paylake.llm import bit_packing, packing, token_counts
 from paylake.llm.memo import Memo, forget
-from paylake.llm.vocabulary import piece_counter, word_encoder
+from paylake.llm.vocabulary import WordEncoder, piece_counter, word_encoder
 from paylake.session import scratch_path
 
 BITS_AND_PIECES = st.lists(
@@ -46,6 +46,69 @@ def test_memo_stays_bounded_and_right():
     assert not memo.young and not memo.old and memo.get(["x"]) == ["xx"]
 
 
+class Asked:
+    """A tokenizer that notes what it is asked for."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, []
+
+    def __getattr__(self, name):
+        def noted(asked, **options):
+            self.texts += asked if isinstance(asked, list) else [asked]
+            return getattr(self.library, name)(asked, **options)
+
+        return noted
+
+
+def test_chunks_seen_by_an_earlier_task_are_not_encoded_again():
+    encoder = WordEncoder()
+    encoder.library = asked = Asked(encoder.library)
+    texts = pa.array(["some words, some Ünïcödé 123 wörds!!", "", "more words"])
+    before = encoder.encode(texts)
+    assert asked.texts
+    asked.texts = []
+    forget()  # a task's end
+    after = encoder.encode(texts)
+    assert not any(asked.texts)
+    assert before[0].tolist() == after[0].tolist() and before[1].tolist() == after[1].tolist()
+    encoder.encode(pa.array(["more words come"]))
+    assert [t for t in asked.texts if t] == ["come"]
+
+
+def test_kept_chunks_stay_few_and_short_and_their_ids_right(monkeypatch):
+    monkeypatch.setattr(WordEncoder, "KEPT", 5)
+    monkeypatch.setattr(WordEncoder, "KEPT_BYTES", 8)
+    encoder = WordEncoder()
+    for i in range(30):
+        texts = [f"always {'abcdefghij'[i % 10] * (i % 13)} é{i // 2}. no{i}", "long" * (i + 1), "to " * i + "be"]
+        ids, counts = encoder.encode(pa.array(texts))
+        expected = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == expected
+        assert len(encoder.kept) == len(encoder.kept_ids) <= 5
+        assert encoder.kept[0].as_py() == "always" and max(len(k.as_py().encode()) for k in encoder.kept) <= 8
+
+
+def test_blocks_of_a_batch_are_read_into_one_batch():
+    texts = [("a b c", 7), ("", 7), ("some wörds", 9), ("no id", None), ("x" * 300, 11)]
+    rows, first = [], 0
+    for block, part in enumerate((texts[:2], texts[2:4], texts[4:])):
+        ids = [encoded(t, 1) for t, _ in part]
+        flat = np.array(sum(ids, []), np.uint32)
+        rows.append(
+            {"shard": 3, "block": block, "first": first, "n_tokens": len(flat), "bits": 16 + block, "first_doc": 7,
+             "last_doc": 11, "doc_ids": [i for _, i in part], "doc_tokens": [len(x) for x in ids],
+             "payload": bit_packing.pack(flat, 16 + block)}
+        )
+        first += len(flat)
+    read = bit_packing.documents_of(pa.RecordBatch.from_pylist(rows, bit_packing.BLOCKS).slice(1))
+    expected, at = [], 0
+    for block, (text, i) in zip([0, 0, 1, 1, 2], texts, strict=True):
+        ids = encoded(text, 1)
+        expected.append({"shard": 3, "block": block, "doc_id": i, "first": at, "n_tokens": len(ids), "ids_crc32": crc(ids)})
+        at += len(ids)
+    assert read.to_pylist() == expected[2:]
+
+
 def encoded(text, end):
     return [*word_encoder().library.encode(text or "", add_special_tokens=False).ids, end]
 
